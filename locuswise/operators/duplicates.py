@@ -117,6 +117,6 @@ def pair_reads(reads: DataFrame) -> DataFrame:
     rest = [c for c in reads.columns if c not in ("sample", "read_name", "mate_no")]
     return (
         reads.groupBy("sample", "read_name")
-        .agg(*[F.max(F.when(F.col("mate_no") == m, F.struct(*rest))).alias(f"_{m}") for m in (1, 2)])
+        .agg(*[F.first(F.when(F.col("mate_no") == m, F.struct(*rest)), ignorenulls=True).alias(f"_{m}") for m in (1, 2)])
         .select("sample", "read_name", *[F.col(f"_{m}.{c}").alias(f"{c}_{m}") for m in (1, 2) for c in rest])
     )

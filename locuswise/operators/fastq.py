@@ -37,17 +37,16 @@ def _adapter_at(seq, adapter: str, seed: int, tail: int):
 
     First the leftmost place where the ``seed``-base prefix fits with at most one mismatch, then
     the longest exact overlap of more than ``tail`` bases at the end of the read. One regular
-    expression covers all single-mismatch forms, so a read is scanned once.
+    expression covers both, so a read is scanned once.
     """
     prefix = adapter[:seed].upper()
     near = "|".join(
         "".join("." if j == i else _matching(b) for j, b in enumerate(prefix)) for i in range(len(prefix))
     )
     ends = "|".join(prefix[:n] for n in range(len(prefix), tail, -1))
-    up = F.upper(seq)
-    whole = F.regexp_instr(up, F.lit(f"(?:{near})"))
-    partial = F.regexp_instr(up, F.lit(f"(?:{ends})$")) if ends else F.lit(0)
-    return F.when(whole > 0, whole - 1).when(partial > 0, partial - 1).otherwise(F.lit(0))
+    # an end overlap starts to the right of every place where the whole prefix fits
+    pattern = f"(?:{near}|(?:{ends})$)" if ends else f"(?:{near})"
+    return F.greatest(F.regexp_instr(F.upper(seq), F.lit(pattern)) - 1, F.lit(0))
 
 
 def cut_adapters(pairs: DataFrame, adapter: str, seed: int = 12, tail: int = 4, min_len: int = 0) -> DataFrame:
@@ -106,23 +105,38 @@ def flag_adapter_reads(reads: DataFrame, hits: DataFrame) -> DataFrame:
 def judge_pairs(reads: DataFrame, drop_single: bool = False, **limits) -> DataFrame:
     """Reads with their pair's verdict ``is_clean``; a pair is clean when none of its reads is bad.
 
-    More than two reads of one name is an error. The verdict is a tiny aggregate per pair joined
-    back on the read name.
+    Mates meet in one aggregate over the read name that keeps one row per mate, so its state is
+    bounded, and are unfolded again: one scan and one shuffle. More than two reads of one name is
+    an error, as are two reads that claim the same mate number.
     """
     c = classify_reads(reads, **limits)
+    rest = [n for n in c.columns if n not in ("sample", "read_name")]
+    row = F.struct(*rest)
+    second = F.coalesce(F.col("mate_no") == 2, F.lit(False))
     bad = F.col("has_adapter") | F.col("too_many_n") | F.col("low_quality")
-    verdict = c.groupBy("sample", "read_name").agg(
-        F.count("*").alias("pair_reads"), F.count_if(bad).alias("bad_reads")
+    pairs = c.groupBy("sample", "read_name").agg(
+        F.count("*").alias("pair_reads"),
+        F.count_if(bad).alias("bad_reads"),
+        F.count_if(second).alias("_seconds"),
+        F.first(F.when(~second, row), ignorenulls=True).alias("_m1"),
+        F.first(F.when(second, row), ignorenulls=True).alias("_m2"),
     )
-    verdict = verdict.withColumn(
+    crowded = (F.col("_seconds") > 1) | (F.col("pair_reads") - F.col("_seconds") > 1)
+    pairs = pairs.withColumn(
         "pair_reads",
-        F.when(
-            F.col("pair_reads") > 2, F.raise_error(F.concat(F.lit("more than two reads named "), F.col("read_name"))).cast("long")
-        ).otherwise(F.col("pair_reads")),
+        F.when(crowded, F.raise_error(F.concat(F.lit("more than two reads named "), F.col("read_name"))).cast("long"))
+        .otherwise(F.col("pair_reads")),
     )
     if drop_single:
-        verdict = verdict.filter(F.col("pair_reads") == 2)
-    return c.join(verdict, ["sample", "read_name"]).withColumn("is_clean", F.col("bad_reads") == 0)
+        pairs = pairs.filter(F.col("pair_reads") == 2)
+    return pairs.select(
+        "sample",
+        "read_name",
+        "pair_reads",
+        "bad_reads",
+        (F.col("bad_reads") == 0).alias("is_clean"),
+        F.explode(F.array_compact(F.array("_m1", "_m2"))).alias("_r"),
+    ).select("sample", "read_name", "_r.*", "pair_reads", "bad_reads", "is_clean")
 
 
 def fastq_qc(reads: DataFrame, **limits) -> DataFrame:
