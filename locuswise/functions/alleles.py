@@ -13,10 +13,11 @@ def is_symbolic(allele: Column) -> Column:
 
 
 def variant_type(ref: Column, alt: Column) -> Column:
-    """SNP, MNP, INS, DEL, InDel or SYMBOLIC of one alternate allele against the reference allele."""
+    """SNP, MNP, INS, DEL, InDel, BND or SYMBOLIC of one alternate allele against the reference allele."""
     lr, la = F.length(ref), F.length(alt)
     return (
-        F.when(is_symbolic(alt), F.lit("SYMBOLIC"))
+        F.when(alt.contains("[") | alt.contains("]"), F.lit("BND"))
+        .when(is_symbolic(alt), F.lit("SYMBOLIC"))
         .when((lr == la) & (mismatches(ref, alt) > 1), F.lit("MNP"))
         .when(lr == la, F.lit("SNP"))
         .when(lr > la, F.when(F.startswith(ref, alt), F.lit("DEL")).otherwise(F.lit("InDel")))
@@ -28,7 +29,7 @@ def site_type(ref: Column, alts: Column) -> Column:
     """Type shared by all alternate alleles, MIXED when they differ, NO_VARIATION when there is none."""
     kinds = F.array_distinct(F.transform(alts, lambda a: variant_type(ref, a)))
     return (
-        F.when(F.size(alts) == 0, F.lit("NO_VARIATION")).when(F.size(kinds) > 1, F.lit("MIXED")).otherwise(kinds[0])
+        F.when(F.size(alts) == 0, F.lit("NO_VARIATION")).when(F.size(kinds) > 1, F.lit("MIXED")).otherwise(F.get(kinds, F.lit(0)))
     )
 
 

@@ -12,8 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from locuswise.functions import cigar as cg
-from locuswise.operators.intervals import interval_join, merge_intervals, runs
-from locuswise.operators.scan import TILE, following, running
+from locuswise.operators.intervals import covered_flag, interval_join, merge_intervals, runs
+from locuswise.operators.scan import TILE, following, scan
 
 LEVELS = (1, 4, 10, 20, 30, 50, 100)  # fixed values: depth thresholds of the target report
 
@@ -49,9 +49,8 @@ def depth_segments(
     steps = events.groupBy(*keys, F.col("_e.p").alias("start")).agg(
         *[F.sum(F.col(n) * F.col("_e.s")).alias(f"_d_{n}") for n in counts]
     )
-    level = running(steps, keys, "start", {n: ("sum", F.col(f"_d_{n}")) for n in counts}, tile=tile)
-    level = level.drop(*[f"_d_{n}" for n in counts])
-    ended = following(level, keys, "start", {"_next": "start"}, tile=tile)
+    specs = {n: ("sum", F.col(f"_d_{n}"), False, True) for n in counts}
+    ended = scan(steps, keys, "start", specs | {"_next": ("min", F.col("start"), True, False)}, tile)
     some = None
     for n in counts:
         some = (F.col(n) > 0) if some is None else some | (F.col(n) > 0)
@@ -169,28 +168,31 @@ def target_report(
     target = merge_intervals(regions, gap=1).drop("n")
     wide = merge_intervals(regions, gap=1, pad=flank).drop("n")
 
-    on_target = interval_join(reads, target, "semi", salt=salt).agg(
-        F.count("*").alias("target_reads"), F.count_if("is_unique").alias("target_unique_reads")
+    flagged = covered_flag(covered_flag(reads, target, "_t", salt=salt, merged=True), wide, "_f", salt=salt, merged=True)
+    counts = flagged.agg(
+        F.count_if("_t").alias("target_reads"),
+        F.count_if(F.col("_t") & F.col("is_unique")).alias("target_unique_reads"),
+        F.count_if("_f").alias("flank_reads"),
+        F.count_if("is_unique").alias("unique_reads"),
+        F.sum("read_len").cast("long").alias("mapped_bases"),
     )
-    on_flank = interval_join(reads, wide, "semi", salt=salt).agg(F.count("*").alias("flank_reads"))
-    whole = reads.agg(F.count_if("is_unique").alias("unique_reads"), F.sum("read_len").cast("long").alias("mapped_bases"))
-
-    part = F.least("end", "r_end") - F.greatest("start", "r_start") + 1
-    hit = interval_join(segments, target).withColumn("_len", part)
-    sex = lambda c: F.lower("chrom").isin(c, f"chr{c}")
+    both = target.withColumn("_on", F.lit(True)).unionByName(wide.withColumn("_on", F.lit(False)))
+    hit = interval_join(segments, both).withColumn("_len", F.least("end", "r_end") - F.greatest("start", "r_start") + 1)
+    on = F.col("_on")
+    sex = lambda c: on & F.lower("chrom").isin(c, f"chr{c}")
     of = lambda c, v: F.coalesce(F.sum(F.when(c, v)), F.lit(0).cast("long"))
     bases = hit.agg(
-        *[of(F.col(d) >= k, F.col("_len")).alias(f"target_{d}_ge{k}") for d in ("depth", "dedup") for k in LEVELS],
-        of(F.lit(True), F.col("depth") * F.col("_len")).alias("target_depth_sum"),
-        of(F.lit(True), F.col("dedup") * F.col("_len")).alias("target_dedup_sum"),
+        *[of(on & (F.col(d) >= k), F.col("_len")).alias(f"target_{d}_ge{k}") for d in ("depth", "dedup") for k in LEVELS],
+        of(on, F.col("depth") * F.col("_len")).alias("target_depth_sum"),
+        of(on, F.col("dedup") * F.col("_len")).alias("target_dedup_sum"),
         of(sex("x"), F.col("depth") * F.col("_len")).alias("x_depth_sum"),
         of(sex("y"), F.col("depth") * F.col("_len")).alias("y_depth_sum"),
+        of(~on, F.col("depth") * F.col("_len")).alias("flank_depth_sum"),
     )
-    flank_bases = interval_join(segments, wide).agg(of(F.lit(True), F.col("depth") * part).alias("flank_depth_sum"))
     size = target.agg(F.sum(_length()).alias("target_size"))
 
     one = None
-    for d in (on_target, on_flank, whole, bases, flank_bases, size):
+    for d in (counts, bases, size):
         d = d.withColumn("_k", F.lit(0))
         one = d if one is None else one.join(d.hint("broadcast"), "_k")  # every side is one row
     return one.drop("_k").withColumns(

@@ -58,10 +58,13 @@ def interval_join(
     raise ValueError(f"unknown interval join: {how}")
 
 
-def coverage_index(regions: DataFrame, on: Sequence[str] = ("chrom", "start", "end"), bin_size: int = BIN) -> DataFrame:
+def coverage_index(
+    regions: DataFrame, on: Sequence[str] = ("chrom", "start", "end"), bin_size: int = BIN, merged: bool = False
+) -> DataFrame:
     """One row per genome bin up to the last region: covered spans in it and the next covered base after it."""
     c, s, e = on
-    flat = merge_intervals(regions.select(F.col(c).alias("chrom"), F.col(s).alias("start"), F.col(e).alias("end")), gap=1)
+    flat = regions.select(F.col(c).alias("chrom"), F.col(s).alias("start"), F.col(e).alias("end"))
+    flat = flat if merged else merge_intervals(flat, gap=1)
     cut = flat.select(
         "chrom", "start", "end", F.explode(_bins("start", "end", bin_size)).alias("bin")
     ).select(
@@ -70,26 +73,38 @@ def coverage_index(regions: DataFrame, on: Sequence[str] = ("chrom", "start", "e
         F.greatest(F.col("start"), F.col("bin") * bin_size).alias("s"),
         F.least(F.col("end"), F.col("bin") * bin_size + bin_size - 1).alias("e"),
     )
-    spans = cut.groupBy("chrom", "bin").agg(
-        F.collect_list(F.struct("s", "e")).alias("spans"), F.min("s").alias("first")
-    )
-    bins = flat.groupBy("chrom").agg(F.max("end").alias("last")).select(
+    # every bin up to the last region gets a row, also without a span in it
+    empty = flat.groupBy("chrom").agg(F.max("end").alias("last")).select(
         "chrom", F.explode(F.sequence(F.lit(0).cast("long"), F.floor(F.col("last") / bin_size))).alias("bin")
     )
-    grid = bins.join(spans, ["chrom", "bin"], "left")
+    grid = (
+        cut.unionByName(empty, allowMissingColumns=True)
+        .groupBy("chrom", "bin")
+        .agg(F.collect_list(F.when(F.col("s").isNotNull(), F.struct("s", "e"))).alias("spans"), F.min("s").alias("first"))
+    )
     return running(grid, ["chrom"], "bin", {"next_start": ("min", F.col("first"))}, reverse=True, inclusive=False).drop(
         "first"
     )
 
 
-def _covered(left, right, how, left_on, right_on, bin_size, salt):
-    """Semi and anti overlap join without exploding the left side.
+def covered_flag(
+    left: DataFrame,
+    regions: DataFrame,
+    out: str,
+    left_on: Sequence[str] = ("chrom", "start", "end"),
+    right_on: Sequence[str] = ("chrom", "start", "end"),
+    bin_size: int = BIN,
+    salt: int = 1,
+    merged: bool = False,
+) -> DataFrame:
+    """Adds a boolean: does the row overlap any region? Rows are neither copied nor lost.
 
-    The regions are merged to disjoint spans first, so a row is covered when a span in the bin of
-    its start overlaps it or when the next covered base after that bin lies before its end.
+    The regions are merged to disjoint spans first (skipped with ``merged``), so a row is covered
+    when a span in the bin of its start overlaps it or when the next covered base after that bin
+    lies before its end. One row looks up one bin.
     """
     lc, ls, le = left_on
-    idx = coverage_index(right, right_on, bin_size).withColumnsRenamed({"chrom": "_chrom", "bin": "_rbin"})
+    idx = coverage_index(regions, right_on, bin_size, merged).withColumnsRenamed({"chrom": "_chrom", "bin": "_rbin"})
     a = left.withColumn("_bin", F.floor(F.col(ls) / bin_size))
     on = (F.col(lc) == F.col("_chrom")) & (F.col("_bin") == F.col("_rbin"))
     if salt > 1:
@@ -98,8 +113,12 @@ def _covered(left, right, how, left_on, right_on, bin_size, salt):
         on = on & (F.col("_salt") == F.col("_rsalt"))
     here = F.exists("spans", lambda x: (x["e"] >= F.col(ls)) & (x["s"] <= F.col(le)))
     hit = F.coalesce(here, F.lit(False)) | F.coalesce(F.col("next_start") <= F.col(le), F.lit(False))
-    joined = a.join(idx, on, "left")
-    return joined.filter(hit if how == "semi" else ~hit).select(*left.columns)
+    return a.join(idx, on, "left").select(*left.columns, hit.alias(out))
+
+
+def _covered(left, right, how, left_on, right_on, bin_size, salt):
+    flagged = covered_flag(left, right, "_hit", left_on, right_on, bin_size, salt)
+    return flagged.filter("_hit" if how == "semi" else "NOT _hit").drop("_hit")
 
 
 def merge_intervals(

@@ -30,9 +30,9 @@ def pileup(reads: DataFrame) -> DataFrame:
     keep = [c for c in reads.columns if c not in ("pos", "bases", "quals", "cigar")]
     blocks = cg.aligned_blocks(F.col("pos"), F.col("cigar"))
     aligned = F.filter(blocks, lambda b: F.instr(F.lit("MD=X"), b["op"]) > 0)
-    after = lambda b, op: F.filter(
-        F.col("_all"), lambda n: (n["op"] == op) & (n["ref"] == b["ref"] + b["len"])
-    )[0]
+    after = lambda b, op: F.get(
+        F.filter(F.col("_all"), lambda n: (n["op"] == op) & (n["ref"] == b["ref"] + b["len"])), F.lit(0)
+    )
     d = reads.withColumn("_all", blocks).withColumn("_b", F.explode(aligned))
     d = d.withColumns({"_ins": after(F.col("_b"), "I"), "_gap": after(F.col("_b"), "D")})
     d = d.withColumn("_i", F.explode(F.sequence(F.lit(0), F.col("_b.len") - 1)))

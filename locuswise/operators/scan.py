@@ -25,39 +25,54 @@ def _merge(kind: str, a: Column, b: Column) -> Column:
     return F.greatest(a, b) if kind == "max" else F.least(a, b)
 
 
-def running(
-    df: DataFrame,
-    keys: Sequence[str],
-    pos: str,
-    aggs: Mapping[str, tuple[str, Column]],
-    tile: float = TILE,
-    reverse: bool = False,
-    inclusive: bool = True,
+def scan(
+    df: DataFrame, keys: Sequence[str], pos: str, specs: Mapping[str, tuple[str, Column, bool, bool]], tile: float = TILE
 ) -> DataFrame:
-    """Running max / min / sum of columns in ``pos`` order within ``keys``.
+    """Several running aggregates in one pass over the tiles.
 
-    ``aggs`` maps an output name to (kind, column). Rows must be unique per (keys, pos).
-    ``reverse`` runs from the last position to the first; ``inclusive=False`` leaves out the row.
+    ``specs`` maps an output name to (max | min | sum, column, reverse, inclusive). Rows must be
+    unique per (keys, pos). ``reverse`` runs from the last position to the first; without
+    ``inclusive`` the row itself is left out.
     """
     keys = list(keys)
     tiled = df.withColumn("_tile", F.floor(F.col(pos) / F.lit(tile)))
-    order = F.col(pos).desc() if reverse else F.col(pos).asc()
-    tile_order = F.col("_tile").desc() if reverse else F.col("_tile").asc()
-    inner = (
-        Window.partitionBy(*keys, "_tile").orderBy(order).rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1)
-    )
-    outer = Window.partitionBy(*(keys or [F.lit(0)])).orderBy(tile_order).rowsBetween(Window.unboundedPreceding, -1)
 
-    totals = tiled.groupBy(*keys, "_tile").agg(*[_FOLD[k](c).alias(f"_total_{n}") for n, (k, c) in aggs.items()])
+    def window(by, column, reverse, last):
+        order = F.col(column).desc() if reverse else F.col(column).asc()
+        return Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, last)
+
+    totals = tiled.groupBy(*keys, "_tile").agg(*[_FOLD[k](c).alias(f"_total_{n}") for n, (k, c, _, _) in specs.items()])
     carry = totals.select(
-        *keys, "_tile", *[_FOLD[k](f"_total_{n}").over(outer).alias(f"_carry_{n}") for n, (k, _) in aggs.items()]
+        *keys,
+        "_tile",
+        *[
+            _FOLD[k](f"_total_{n}").over(window(keys or [F.lit(0)], "_tile", rev, -1)).alias(f"_carry_{n}")
+            for n, (k, _, rev, _) in specs.items()
+        ],
+    )
+    local = tiled.withColumns(
+        {
+            f"_local_{n}": _FOLD[k](c).over(window([*keys, "_tile"], pos, rev, 0 if inc else -1))
+            for n, (k, c, rev, inc) in specs.items()
+        }
     )
-    local = tiled.withColumns({f"_local_{n}": _FOLD[k](c).over(inner) for n, (k, c) in aggs.items()})
-    joined = local.join(carry, keys + ["_tile"], "left")
-    done = joined.withColumns(
-        {n: _merge(k, F.col(f"_carry_{n}"), F.col(f"_local_{n}")) for n, (k, _) in aggs.items()}
+    done = local.join(carry, keys + ["_tile"], "left").withColumns(
+        {n: _merge(k, F.col(f"_carry_{n}"), F.col(f"_local_{n}")) for n, (k, _, _, _) in specs.items()}
     )
-    return done.drop("_tile", *[f"_carry_{n}" for n in aggs], *[f"_local_{n}" for n in aggs])
+    return done.drop("_tile", *[f"_carry_{n}" for n in specs], *[f"_local_{n}" for n in specs])
+
+
+def running(
+    df: DataFrame,
+    keys: Sequence[str],
+    pos: str,
+    aggs: Mapping[str, tuple[str, Column]],
+    tile: float = TILE,
+    reverse: bool = False,
+    inclusive: bool = True,
+) -> DataFrame:
+    """Running max / min / sum of columns, all in one direction."""
+    return scan(df, keys, pos, {n: (k, c, reverse, inclusive) for n, (k, c) in aggs.items()}, tile)
 
 
 def islands(df: DataFrame, keys: Sequence[str], pos: str, is_new: Column, out: str = "island", tile: float = TILE):

@@ -217,3 +217,39 @@ SQL["aligned"] = "SELECT " + ", ".join(f"{e} AS {n}" for n, e in _ALIGNED) + " F
 
 def aligned(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reads(spark, sf_dir).selectExpr(*[f"{e} AS {n}" for n, e in _ALIGNED])
+
+
+_G = "CAST(size % 7 = 0 AND dp % 3 = 0 AS INT)"
+_COHORT = [
+    ("chrom", "chrom"), ("pos", "pos"), ("ref", "ref"), ("alt1", "alt"), ("alt2", "CASE WHEN size % 7 = 0 THEN concat(alt, 'A') END"),
+    ("qual", "qual"), ("filter", "filter"), ("rsid", "rsid"), ("sample", "sample"), ("gq", "gq"), ("dp", "dp"),
+    ("a1", f"CASE gt_code WHEN 0 THEN 0 WHEN 1 THEN {_G} WHEN 2 THEN 1 ELSE -1 END"),
+    ("a2", f"CASE gt_code WHEN 0 THEN 0 WHEN 1 THEN 1 + {_G} WHEN 2 THEN 1 ELSE -1 END"),
+    ("ad0", "CASE gt_code WHEN 2 THEN dp % 2 WHEN 1 THEN dp - CAST(floor(dp / 2) AS INT) ELSE dp END"),
+    ("ad1", "CASE gt_code WHEN 2 THEN dp - dp % 2 WHEN 1 THEN CAST(floor(dp / 2) AS INT) ELSE 0 END"),
+    ("ad2", "CASE WHEN size % 7 = 0 THEN dp % 5 END"),
+]
+SQL["cohort"] = "SELECT " + ", ".join(f"{e} AS {n}" for n, e in _COHORT) + " FROM genotypes JOIN variants USING (chrom, pos)"
+
+
+def cohort(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Genotypes with their site: ref, alts (one or two), gt, ad, gq, dp, qual, filter and id."""
+    j = genotypes(spark, sf_dir).join(variants(spark, sf_dir), ["chrom", "pos"])
+    return j.selectExpr(*[f"{e} AS {n}" for n, e in _COHORT]).selectExpr(
+        "chrom", "pos", "ref", "array_compact(array(alt1, alt2)) AS alts", "qual", "filter", "filter <> 'PASS' AS is_filtered", "rsid AS id",
+        "sample", "array(a1, a2) AS gt", "gq", "dp", "array_compact(array(ad0, ad1, ad2)) AS ad",
+    )
+
+
+SQL["sites"] = """SELECT chrom, pos, ref, alt AS alt1, CASE WHEN size % 7 = 0 THEN concat(alt, 'A') END AS alt2, qual, filter, rsid, size FROM variants"""
+
+
+def sites(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sites of the variant fixture with one or two alternate alleles and an INFO map."""
+    return variants(spark, sf_dir).selectExpr(
+        "chrom", "pos", "pos + length(ref) - 1 AS end", "ref",
+        "array_compact(array(alt, CASE WHEN size % 7 = 0 THEN concat(alt, 'A') END)) AS alts", "qual",
+        "CASE WHEN filter = 'PASS' THEN array() ELSE array(filter) END AS filters", "filter <> 'PASS' AS is_filtered", "rsid AS id", "size",
+        """map_filter(map('QD', CAST(size % 13 AS STRING), 'FS', CASE WHEN size % 3 <> 0 THEN CAST(size AS STRING) END,
+             'AC', CASE WHEN size % 7 = 0 THEN concat(size % 5, ',', size % 4) ELSE CAST(size % 5 AS STRING) END), (k, v) -> v IS NOT NULL) AS info""",
+    )
