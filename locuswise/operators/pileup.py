@@ -25,7 +25,7 @@ def pileup(reads: DataFrame) -> DataFrame:
     """One row per (read, reference position) from cigar strings.
 
     Deleted bases have ``is_del`` and null base and quality. ``next_ins`` holds the bases inserted
-    after the position, ``next_del`` the length of a deletion that starts after it.
+    after the position, ``next_del`` the length of a deletion that directly follows it.
     """
     keep = [c for c in reads.columns if c not in ("pos", "bases", "quals", "cigar")]
     blocks = cg.aligned_blocks(F.col("pos"), F.col("cigar"))
@@ -47,7 +47,7 @@ def pileup(reads: DataFrame) -> DataFrame:
         F.when(~is_del, F.ascii(F.substr("quals", at, F.lit(1))) - 33).alias("qual"),
         is_del.alias("is_del"),
         F.when(last & F.col("_ins").isNotNull(), F.substr("bases", F.col("_ins.read") + 1, F.col("_ins.len"))).alias("next_ins"),
-        F.when(last & F.col("_gap").isNotNull(), F.col("_gap.len")).alias("next_del"),
+        F.when(last & F.col("_gap").isNotNull() & F.col("_ins").isNull(), F.col("_gap.len")).alias("next_del"),
     )
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ["read_queries", "interval_queries", "coverage_queries", "variant_queries", "calling_queries"]
+MODULES = ["read_queries", "interval_queries", "coverage_queries", "variant_queries", "calling_queries", "annotation_queries"]
 
 
 def load_all():

@@ -32,7 +32,9 @@ def with_fixtures(names: str, body: str) -> str:
 def _closure(names: list[str]) -> list[str]:
     needs = {
         "pileup": ["reads"],
-        "clean": ["reads", "pileup", "refseq"], "aligned": ["reads"], "cohort": ["genotypes", "variants"], "sites": ["variants"], "dups": ["reads"]}
+        "clean": ["reads", "pileup", "refseq"],
+        "ap": ["reads", "pileup", "refseq", "clean"],
+        "asites": ["refseq"], "aligned": ["reads"], "cohort": ["genotypes", "variants"], "sites": ["variants"], "dups": ["reads"]}
     out: list[str] = []
     for n in names:
         for m in [*needs.get(n, []), n]:
