@@ -4,7 +4,10 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ["read_queries", "interval_queries", "coverage_queries", "variant_queries", "calling_queries", "annotation_queries"]
+MODULES = [
+    "read_queries", "interval_queries", "coverage_queries", "variant_queries", "calling_queries", "annotation_queries",
+    "recalibration_queries", "sv_queries", "vqsr_queries",
+]
 
 
 def load_all():
