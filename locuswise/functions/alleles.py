@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from locuswise.functions.lambdas import record
 from locuswise.functions.sequence import mismatches
 
 
@@ -91,7 +92,7 @@ def genotype_pairs(n_alleles: Column) -> Column:
     return F.flatten(
         F.transform(
             F.sequence(F.lit(0), n_alleles - 1),
-            lambda hi: F.transform(F.sequence(F.lit(0), hi), lambda lo: F.struct(lo.alias("lo"), hi.alias("hi"))),
+            lambda hi: F.transform(F.sequence(F.lit(0), hi), lambda lo: record(lo=lo, hi=hi)),
         )
     )
 

@@ -15,3 +15,8 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     computed twice, and nesting multiplies that.
     """
     return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def record(**fields: Column) -> Column:
+    """A struct with explicit names: an alias on a bare lambda variable does not reach the struct."""
+    return F.named_struct(*[x for n, c in fields.items() for x in (F.lit(n), c)])

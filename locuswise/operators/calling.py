@@ -136,7 +136,7 @@ def allele_count_likelihoods(gl3: Column) -> Column:
             F.sequence(F.lit(0), F.size(acc["z"]) + 1),
             lambda k: at(acc["z"], k) * w["w0"] + at(acc["z"], k - 1) * w["w1"] + at(acc["z"], k - 2) * w["w2"],
         )
-        scaled = let(grown, lambda z: let(F.array_max(z), lambda m: F.transform(z, lambda x: x / m)))
+        scaled = let(grown, lambda z: let(F.array_max(z), lambda m: F.transform(z, lambda x: F.try_divide(x, m))))
         return F.struct(scaled.alias("z"))
 
     # the accumulator is a struct so that its array type stays the same in every step

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from locuswise.functions.alleles import genotype_index, remap_pl, trim_alleles
-from locuswise.functions.lambdas import let
+from locuswise.functions.lambdas import let, record
 from locuswise.functions.stats import excess_het_p
 from locuswise.operators.calling import THETA_SNP, af_prior, allele_count_likelihoods
 from locuswise.operators.intervals import interval_join, segments
@@ -102,10 +102,9 @@ def merge_genotypes(at: DataFrame, sites: DataFrame) -> DataFrame:
         .when(here, F.concat(a, F.substr(F.col("_mref"), F.length("ref") + 1)))
         .otherwise(F.lit(SPAN_DEL)),
     )
-    old = F.concat(F.array("_mref"), own)
-    new = F.concat(F.array("_mref"), F.col("_malts"))
+    j = j.withColumns({"_old": F.concat(F.array("_mref"), own), "_new": F.concat(F.array("_mref"), F.col("_malts"))})
     return j.select(
-        "chrom", "pos", "sample", F.col("_mref").alias("ref"), F.col("_malts").alias("alts"), remap_pl(F.col("pl"), old, new).alias("pl"),
+        "chrom", "pos", "sample", F.col("_mref").alias("ref"), F.col("_malts").alias("alts"), remap_pl(F.col("pl"), F.col("_old"), F.col("_new")).alias("pl"),
         F.coalesce("dp", "min_dp").alias("dp"), "min_dp", here.alias("starts_here"),
     )
 
@@ -129,7 +128,7 @@ def joint_genotype(genotypes: DataFrame, theta: float = THETA_SNP, call: float =
     g = genotypes.groupBy("chrom", "pos", "ref", "alts").agg(
         F.sort_array(F.collect_list(F.struct("sample", "pl", "dp"))).alias("g"), F.sum("dp").alias("dp")
     ).filter(F.col("dp") > 0)
-    real = F.filter(F.transform("alts", lambda a, i: F.struct(a.alias("a"), (i + 1).alias("i"))), lambda x: ~x["a"].isin(NON_REF, SPAN_DEL))
+    real = F.filter(F.transform("alts", lambda a, i: record(a=a, i=i + 1)), lambda x: ~x["a"].isin(NON_REF, SPAN_DEL))
     per = g.select("*", F.explode(real).alias("_x"))
     i = F.col("_x.i")
     three = F.transform(
@@ -149,11 +148,11 @@ def joint_genotype(genotypes: DataFrame, theta: float = THETA_SNP, call: float =
         F.sort_array(F.collect_list("_x")).alias("_kept"), F.max("_q").alias("qual"), F.first("g").alias("g"), F.first("dp").alias("dp")
     )
     # genotype = the best PL among the kept alleles
-    keep = F.concat(F.array(F.struct(F.col("ref").alias("a"), F.lit(0).alias("i"))), F.transform("_kept", lambda x: F.struct(x["a"].alias("a"), x["i"].alias("i"))))
+    keep = F.concat(F.array(F.struct(F.col("ref").alias("a"), F.lit(0).alias("i"))), F.transform("_kept", lambda x: record(a=x["a"], i=x["i"])))
     site = site.withColumn("_keep", keep)
     pairs = F.flatten(
         F.transform(
-            "_keep", lambda x, p: F.transform(F.slice(F.col("_keep"), F.lit(1), p + 1), lambda y, r: F.struct(y["i"].alias("lo"), x["i"].alias("hi"), r.alias("nlo"), p.alias("nhi")))
+            "_keep", lambda x, p: F.transform(F.slice(F.col("_keep"), F.lit(1), p + 1), lambda y, r: record(lo=y["i"], hi=x["i"], nlo=r, nhi=p))
         )
     )
     site = site.withColumn("_pairs", pairs)

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from locuswise.functions.codons import amino_acid, is_start, is_stop
-from locuswise.functions.lambdas import let
+from locuswise.functions.lambdas import record
 from locuswise.functions.sequence import complement, reverse_complement
 from locuswise.operators.intervals import interval_join
 
@@ -277,7 +277,7 @@ def sample_allele_columns(genotypes: DataFrame) -> DataFrame:
     )
     at = (hi * (hi + 1) / 2).cast("int") + lo
     own = F.get(pl, at)
-    others = F.filter(F.transform(pl, lambda x, i: F.struct(i.alias("i"), x.alias("x"))), lambda s: s["i"] != at)
+    others = F.filter(F.transform(pl, lambda x, i: record(i=i, x=x)), lambda s: s["i"] != at)
     clear = (
         F.when(pl.isNull() | nc, F.lit(1))
         .when((own > 3) | F.exists(others, lambda s: s["x"] == 0), F.lit(-1))

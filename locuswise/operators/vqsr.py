@@ -338,7 +338,7 @@ def apply_vqsr_alleles(variants: DataFrame, recal: DataFrame, tranches=(), level
     text = lambda f: F.array_join(F.transform("_r", f), ",")
     g = g.select(
         *key,
-        text(lambda x: F.coalesce(F.format_string("%.4f", x["lod"]), F.lit("NaN"))).alias("AS_VQSLOD"),
+        text(lambda x: F.when(x["lod"].isNull(), F.lit("NaN")).otherwise(F.format_string("%.4f", x["lod"]))).alias("AS_VQSLOD"),
         text(lambda x: F.coalesce(x["culprit"], F.lit("NA"))).alias("AS_culprit"),
         text(lambda x: x["_f"]).alias("AS_FilterStatus"),
         F.array("_best").alias("filters"),

@@ -34,7 +34,7 @@ def _closure(names: list[str]) -> list[str]:
         "pileup": ["reads"],
         "clean": ["reads", "pileup", "refseq"],
         "ap": ["reads", "pileup", "refseq", "clean"],
-        "asites": ["refseq"], "aligned": ["reads"], "cohort": ["genotypes", "variants"], "sites": ["variants"], "dups": ["reads"]}
+        "asites": ["refseq"], "aligned": ["reads"], "cohort": ["genotypes", "variants"], "sites": ["variants"], "gv": ["genotypes", "variants", "cohort"], "exons": ["regions"], "feats": ["regions", "exons"], "dups": ["reads"]}
     out: list[str] = []
     for n in names:
         for m in [*needs.get(n, []), n]:
