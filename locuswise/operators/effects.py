@@ -63,37 +63,42 @@ def expand_features(
     end, cds_start, cds_end, is_minus. Introns lie between neighbouring exons; donor and acceptor
     sites are their first and last ``splice`` bases in reading direction.
     """
-    cols = ["chrom", "start", "end", "kind", "gene", "transcript", "is_minus"]
     none = F.lit(None).cast("string")
-    g = genes.select("chrom", "start", "end", F.col("name").alias("gene"), none.alias("transcript"), "is_minus")
-    minus = F.col("is_minus")
+    minus, s, e = F.col("is_minus"), F.col("start"), F.col("end")
 
-    def span(df, kind, start, end):
-        return df.withColumns({"kind": F.lit(kind), "_s": start, "_e": end}).filter("_s <= _e").select(
-            "chrom", F.col("_s").alias("start"), F.col("_e").alias("end"), "kind", "gene", "transcript", "is_minus"
+    def unfold(df, spans):
+        """All spans of a row in one pass; empty ones are dropped."""
+        parts = F.array(*[F.struct(F.lit(k).alias("kind"), a.cast("long").alias("start"), z.cast("long").alias("end")) for k, a, z in spans])
+        return df.select("chrom", "gene", "transcript", "is_minus", F.explode(parts).alias("_f")).filter("_f.start <= _f.end").select(
+            "chrom", "_f.start", "_f.end", "_f.kind", "gene", "transcript", "is_minus"
         )
 
-    s, e = F.col("start"), F.col("end")
-    out = span(g, "GENE", s, e)
-    before, after = (s - upstream, s - 1), (e + 1, e + downstream)
-    if upstream:
-        out = out.unionByName(span(g, "UPSTREAM", F.when(minus, e + 1).otherwise(before[0]), F.when(minus, e + upstream).otherwise(before[1])))
-    if downstream:
-        out = out.unionByName(span(g, "DOWNSTREAM", F.when(minus, s - downstream).otherwise(after[0]), F.when(minus, s - 1).otherwise(after[1])))
+    up = (F.when(minus, e + 1).otherwise(s - upstream), F.when(minus, e + upstream).otherwise(s - 1))
+    down = (F.when(minus, s - downstream).otherwise(e + 1), F.when(minus, s - 1).otherwise(e + downstream))
+    g = genes.select("chrom", "start", "end", F.col("name").alias("gene"), none.alias("transcript"), "is_minus")
+    gene_rows = unfold(g, [("GENE", s, e), ("UPSTREAM", *up), ("DOWNSTREAM", *down)])
+
     cs, ce = F.col("cds_start"), F.col("cds_end")
-    out = out.unionByName(span(exons, "EXON", s, e)).unionByName(span(exons, "CDS", F.greatest(s, cs), F.least(e, ce)))
     left, right = (s, F.least(e, cs - 1)), (F.greatest(s, ce + 1), e)
-    for kind, at_left in (("UTR_5_PRIME", ~minus), ("UTR_3_PRIME", minus)):
-        out = out.unionByName(span(exons.filter(at_left), kind, *left)).unionByName(span(exons.filter(~at_left), kind, *right))
+    by_strand = lambda plus, other: tuple(F.when(minus, y).otherwise(x) for x, y in zip(plus, other))
+    exon_rows = unfold(
+        exons,
+        [("EXON", s, e), ("CDS", F.greatest(s, cs), F.least(e, ce)), ("UTR_5_PRIME", *by_strand(left, right)), ("UTR_3_PRIME", *by_strand(right, left))],
+    )
+
     # a transcript has a bounded number of exons
     w = Window.partitionBy("transcript").orderBy("start")
     intron = exons.withColumn("_next", F.lead("start").over(w)).filter("_next IS NOT NULL").withColumns({"start": e + 1, "end": F.col("_next") - 1}).filter("start <= end")
-    out = out.unionByName(span(intron, "INTRON", s, e))
     first, last = (s, F.least(e, s + splice - 1)), (F.greatest(s, e - splice + 1), e)
-    for kind, at_start in (("SPLICE_SITE_DONOR", ~minus), ("SPLICE_SITE_ACCEPTOR", minus)):
-        out = out.unionByName(span(intron.filter(at_start), kind, *first)).unionByName(span(intron.filter(~at_start), kind, *last))
-    out = out.unionByName(span(intron, "SPLICE_SITE_REGION", s + splice, F.least(e, s + splice_region - 1)))
-    return out.unionByName(span(intron, "SPLICE_SITE_REGION", F.greatest(s + splice_region, e - splice_region + 1), e - splice)).select(*cols)
+    intron_rows = unfold(
+        intron,
+        [
+            ("INTRON", s, e), ("SPLICE_SITE_DONOR", *by_strand(first, last)), ("SPLICE_SITE_ACCEPTOR", *by_strand(last, first)),
+            ("SPLICE_SITE_REGION", s + splice, F.least(e, s + splice_region - 1)),
+            ("SPLICE_SITE_REGION", F.greatest(s + splice_region, e - splice_region + 1), e - splice),
+        ],
+    )
+    return gene_rows.unionByName(exon_rows).unionByName(intron_rows)
 
 
 def feature_effects(variants: DataFrame, features: DataFrame, salt: int = 1) -> DataFrame:

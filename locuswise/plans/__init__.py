@@ -6,7 +6,7 @@ from importlib import import_module
 
 MODULES = [
     "read_queries", "interval_queries", "coverage_queries", "variant_queries", "calling_queries", "annotation_queries",
-    "recalibration_queries", "sv_queries", "vqsr_queries", "cohort_queries", "effect_queries",
+    "recalibration_queries", "sv_queries", "vqsr_queries", "cohort_queries", "effect_queries", "table_queries",
 ]
 
 
