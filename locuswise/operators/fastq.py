@@ -122,10 +122,11 @@ def judge_pairs(reads: DataFrame, drop_single: bool = False, **limits) -> DataFr
         F.first(F.when(second, row), ignorenulls=True).alias("_m2"),
     )
     crowded = (F.col("_seconds") > 1) | (F.col("pair_reads") - F.col("_seconds") > 1)
+    # the verdict itself carries the error, so pruning cannot remove the check
     pairs = pairs.withColumn(
-        "pair_reads",
+        "bad_reads",
         F.when(crowded, F.raise_error(F.concat(F.lit("more than two reads named "), F.col("read_name"))).cast("long"))
-        .otherwise(F.col("pair_reads")),
+        .otherwise(F.col("bad_reads")),
     )
     if drop_single:
         pairs = pairs.filter(F.col("pair_reads") == 2)
