@@ -301,7 +301,7 @@ def sample_allele_columns(genotypes: DataFrame) -> DataFrame:
     ratio = F.when(F.col("dp") == 0, F.lit(0.0)).otherwise(F.coalesce(F.try_divide(depth.cast("double"), F.col("_sum").cast("double")), F.lit(0.0)))
     return d.select(
         "sample", "chrom", "pos", "ref", "alt", depth.alias("allele_depth"), F.round(ratio, 2).alias("allele_ratio"), "zygosity", F.when(called, tag).alias("filter_tag"),
-        F.col("has_near").cast("int").alias("nbgid"), "dp",
+        F.col("has_near").cast("int").alias("near_flag"), "dp",
     )
 
 

@@ -255,7 +255,7 @@ def _(spark, sf_dir):
     q AS (SELECT *, CAST(hi * (hi + 1) // 2 + lo AS INT) AS ix FROM p), o AS (SELECT *, pl[ix + 1] AS own, list_filter([CASE WHEN ix <> 0 THEN pl[1] END, CASE WHEN ix <> 1 THEN pl[2] END, CASE WHEN ix <> 2 THEN pl[3] END], lambda x: x IS NOT NULL) AS ot FROM q),
     c AS (SELECT *, CASE WHEN lo < 0 THEN 1 WHEN own > 3 OR list_contains(ot, 0) THEN -1 WHEN own > 0 OR list_min(ot) < 10 THEN 0 ELSE 1 END AS ind FROM o)
     SELECT sample, chrom, pos, ref, alt1 AS alt, ad1 AS allele_depth, CASE WHEN dp = 0 THEN 0.0 ELSE round(coalesce(ad1 / nullif(ad0 + ad1, 0), 0), 2) END AS allele_ratio, CASE WHEN lo < 0 THEN 'noCall' WHEN lo <> hi THEN 'het-ref' WHEN lo > 0 THEN 'hom-alt' ELSE '.' END AS zygosity,
-      CASE WHEN hi = 1 THEN CASE WHEN ad1 <= 2 OR ind < 0 THEN 'FAIL' WHEN ad1 >= 8 AND ind > 0 AND filter = 'PASS' THEN CASE WHEN near THEN 'DUBIOUS' ELSE 'PASS' END ELSE 'DUBIOUS' END END AS filter_tag, CAST(near AS INT) AS nbgid, dp FROM c""",
+      CASE WHEN hi = 1 THEN CASE WHEN ad1 <= 2 OR ind < 0 THEN 'FAIL' WHEN ad1 >= 8 AND ind > 0 AND filter = 'PASS' THEN CASE WHEN near THEN 'DUBIOUS' ELSE 'PASS' END ELSE 'DUBIOUS' END END AS filter_tag, CAST(near AS INT) AS near_flag, dp FROM c""",
 )
 def _(spark, sf_dir):
     c = fx.cohort(spark, sf_dir).filter("size(alts) = 1").withColumns(
