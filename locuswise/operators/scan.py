@@ -111,3 +111,9 @@ def top_n(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int, s
     return (
         kept.withColumn("_rank", F.row_number().over(second)).filter(F.col("_rank") <= n).drop("_salt", "_rank")
     )
+
+
+def with_row(df: DataFrame, row: DataFrame) -> DataFrame:
+    """Attach the columns of a one-row table to every row, as a scalar subquery and not as a join."""
+    one = row.select(F.struct(*row.columns)).scalar()
+    return df.select("*", one.alias("_one")).select(*df.columns, *[F.col(f"_one.{c}").alias(c) for c in row.columns])

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from locuswise.functions.stats import log_poisson_tail
-from locuswise.operators.scan import TILE, islands, previous
+from locuswise.operators.scan import TILE, islands, previous, with_row
 
 # Default limits of the structural-variant job.
 MAX_INSERT = 2000
@@ -60,7 +60,7 @@ def insert_size_model(reads: DataFrame, min_mapq: int = 35, times: float = 3.0,
 
 def with_model(df: DataFrame, model: DataFrame) -> DataFrame:
     """Attach the one-row model to every row."""
-    return df.withColumn("_k", F.lit(0)).join(model.withColumn("_k", F.lit(0)).hint("broadcast"), "_k").drop("_k")
+    return with_row(df, model)
 
 
 def sv_type() -> Column:

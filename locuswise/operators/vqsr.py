@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from locuswise.functions.alleles import site_type
 from locuswise.operators.sampling import reservoir
-from locuswise.operators.scan import scan
+from locuswise.operators.scan import scan, with_row
 
 # Outlier bound, cut-off of the negative set, default prior, cap of training rows.
 STD_THRESHOLD = 10.0
@@ -96,7 +96,7 @@ def vqsr_normalise(variants: DataFrame, names: Sequence[str], key: Sequence[str]
         *[F.avg(F.get("features", F.lit(i))).alias(f"_m{i}") for i in range(len(names))],
         *[F.stddev_pop(F.get("features", F.lit(i))).alias(f"_s{i}") for i in range(len(names))],
     )
-    j = variants.withColumn("_k", F.lit(0)).join(stats.withColumn("_k", F.lit(0)).hint("broadcast"), "_k")
+    j = with_row(variants, stats)
 
     def z(i, n):
         sd = F.when(
@@ -110,7 +110,7 @@ def vqsr_normalise(variants: DataFrame, names: Sequence[str], key: Sequence[str]
         {"is_null": F.transform("features", lambda x: x.isNull()), "_z": F.array(*[z(i, n) for i, n in enumerate(names)])}
     )
     return d.withColumns({"features": F.col("_z"), "failing_sd": F.exists("_z", lambda x: F.abs(x) > STD_THRESHOLD)}).drop(
-        "_k", "_z", *[f"_m{i}" for i in range(len(names))], *[f"_s{i}" for i in range(len(names))]
+        "_z", *[f"_m{i}" for i in range(len(names))], *[f"_s{i}" for i in range(len(names))]
     )
 
 
@@ -234,7 +234,7 @@ def find_tranches(scored: DataFrame, levels: Sequence[float], mode: str = "SNP")
     """
     cum = _by_lod(scored)
     total = scored.agg(F.count_if("at_truth").alias("_all"))
-    c = cum.withColumn("_k", F.lit(0)).join(total.withColumn("_k", F.lit(0)).hint("broadcast"), "_k")
+    c = with_row(cum, total)
     lowest = c.agg(
         *[F.min(F.when(F.col("truth") <= F.col("_all") * (t / 100.0) + 1e-9, F.struct("lod", *_STATS, "_all"))).alias(f"_t{i}") for i, t in enumerate(levels)]
     )
@@ -265,7 +265,7 @@ def find_vqslod_tranches(scored: DataFrame, levels: Sequence[float], mode: str =
     """The same statistics for the lowest score at or above each given score."""
     cum = _by_lod(scored)
     total = scored.agg(F.count_if("at_truth").alias("_all"))
-    c = cum.withColumn("_k", F.lit(0)).join(total.withColumn("_k", F.lit(0)).hint("broadcast"), "_k")
+    c = with_row(cum, total)
     lowest = c.agg(*[F.min(F.when(F.col("lod") >= t, F.struct("lod", *_STATS, "_all"))).alias(f"_t{i}") for i, t in enumerate(levels)])
     return _tranche_rows(lowest, levels, mode)
 
