@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from locuswise.functions import cigar as cg
 from locuswise.operators.intervals import covered_flag, interval_join, merge_intervals, runs
-from locuswise.operators.scan import TILE, following, scan
+from locuswise.operators.scan import TILE, following, scan, with_row
 
 LEVELS = (1, 4, 10, 20, 30, 50, 100)  # fixed values: depth thresholds of the target report
 
@@ -193,9 +193,8 @@ def target_report(
 
     one = None
     for d in (counts, bases, size):
-        d = d.withColumn("_k", F.lit(0))
-        one = d if one is None else one.join(d.hint("broadcast"), "_k")  # every side is one row
-    return one.drop("_k").withColumns(
+        one = d if one is None else with_row(one, d)  # every side is one row
+    return one.withColumns(
         {
             "mean_target_depth": F.try_divide(F.col("target_depth_sum").cast("double"), F.col("target_depth_ge1").cast("double")),
             "target_coverage": F.try_divide(F.col("target_depth_ge1") * 100.0, F.col("target_size").cast("double")),
@@ -265,7 +264,7 @@ def region_stats(segments: DataFrame, regions: DataFrame, keys: Sequence[str] =
     whole = d.groupBy(*keys).agg(
         F.try_divide(F.sum(F.when(auto, F.col("depth_sum"))).cast("double"), F.sum(F.when(auto, F.col("size"))).cast("double")).alias("_all")
     )
-    j = d.join(whole, keys) if keys else d.withColumn("_k", F.lit(0)).join(whole.withColumn("_k", F.lit(0)).hint("broadcast"), "_k").drop("_k")
+    j = d.join(whole, keys) if keys else with_row(d, whole)
     return j.withColumn("normalised_depth", F.try_divide(F.try_divide(F.col("depth_sum"), F.col("size").cast("double")), F.col("_all"))).drop("_all")
 
 
@@ -351,8 +350,7 @@ def gc_weights(stats: DataFrame, span: float = 0.01) -> DataFrame:
     med = auto.groupBy(bin_no.alias("gc_bin")).agg(F.median("mean_depth").alias("bin_depth"))
     mean = stats.agg(F.avg("mean_depth").alias("all_depth"))
     return (
-        med.withColumn("_k", F.lit(0))
-        .join(mean.withColumn("_k", F.lit(0)).hint("broadcast"), "_k")
+        with_row(med, mean)
         .select("gc_bin", F.try_divide(F.col("all_depth"), F.col("bin_depth")).alias("weight"))
     )
 
@@ -384,7 +382,7 @@ def predict_sex(stats: DataFrame, depth_low: float = 0.0, depth_high: float = 1e
         F.max(F.when(y & (F.col("n") > 5), F.col("trimmed_mean"))).alias("y_depth"),
     )
     n = use.agg(F.count("*").alias("regions"))
-    d = out.withColumn("_k", F.lit(0)).join(n.withColumn("_k", F.lit(0)).hint("broadcast"), "_k").drop("_k")
+    d = with_row(out, n)
     d = d.withColumns(
         {
             "x_ratio": F.try_divide("x_depth", "autosome_depth"),

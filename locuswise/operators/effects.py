@@ -11,6 +11,7 @@ from locuswise.functions.codons import amino_acid, is_start, is_stop
 from locuswise.functions.lambdas import record
 from locuswise.functions.sequence import complement, reverse_complement
 from locuswise.operators.intervals import interval_join
+from locuswise.operators.scan import with_row
 
 # Effect types from the most to the least severe.
 EFFECTS = """
@@ -192,8 +193,8 @@ def rare_codons(cds: DataFrame, ref: DataFrame, max_share: float = 0.01) -> Data
         "transcript", F.posexplode(F.regexp_extract_all("cds", F.lit("(.{3})"), F.lit(1))).alias("codon_num", "codon")
     ).withColumn("aa", amino_acid(F.col("codon")))
     n = c.groupBy("aa").agg(F.count("*").alias("n"))  # at most 22 rows
-    total = n.agg(F.sum("n").alias("_all")).withColumn("_k", F.lit(0))
-    share = n.withColumn("_k", F.lit(0)).join(total.hint("broadcast"), "_k").select("aa", (F.col("n") / F.col("_all")).alias("share"))
+    total = n.agg(F.sum("n").alias("_all"))
+    share = with_row(n, total).select("aa", (F.col("n") / F.col("_all")).alias("share"))
     return c.join(F.broadcast(share.filter(F.col("share") < max_share)), "aa")
 
 
