@@ -64,3 +64,26 @@ def _(spark, sf_dir) -> DataFrame:
 
     pages = table(spark, sf_dir, "pages")
     return url_verdicts(pages, listed_urls(pages)).select("page_id", "host", "path", "rule", "verdict")
+
+
+@query("op2_language_id")
+def _(spark, sf_dir) -> DataFrame:
+    from locuswise.llm.langid import languages
+
+    return languages(table(spark, sf_dir, "documents"))
+
+
+@query("op4_best_fit_packing")
+def _(spark, sf_dir) -> DataFrame:
+    from locuswise.llm.packing import packed_documents
+
+    return packed_documents(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE))
+
+
+@query("op7_quality_rules")
+def _(spark, sf_dir) -> DataFrame:
+    from locuswise.llm.rules import fit, quality_verdicts
+
+    docs = table(spark, sf_dir, "documents")
+    out = quality_verdicts(docs, fit(docs, table(spark, sf_dir, "labels")))
+    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from locuswise.llm.common import whole_text
 
 # Unicode white space, and the word pattern of byte-level vocabularies.
-SPACE = r"\t-\r \x85\xa0  -     　"
+SPACE = "\t-\r \x85\xa0" + "".join(map(chr, (0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)))
 WORDS = rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{SPACE}\p{{L}}\p{{N}}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+"
 
 #: two white spaces in a row: only there can a word boundary depend on what stands beyond a single blank or line end
