@@ -87,3 +87,14 @@ def _(spark, sf_dir) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     out = quality_verdicts(docs, fit(docs, table(spark, sf_dir, "labels")))
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+#: pseudonyms of the query; a real run passes its own secret
+PII_KEY = "locuswise-example-key"
+
+
+@query("op6_pii")
+def _(spark, sf_dir) -> DataFrame:
+    from locuswise.llm.pii import pseudonymised
+
+    return pseudonymised(table(spark, sf_dir, "documents").select("doc_id", "text"), PII_KEY, count="n_values")
