@@ -98,3 +98,10 @@ def _(spark, sf_dir) -> DataFrame:
     from locuswise.llm.pii import pseudonymised
 
     return pseudonymised(table(spark, sf_dir, "documents").select("doc_id", "text"), PII_KEY, count="n_values")
+
+
+@query("op5_hmm_score")
+def _(spark, sf_dir) -> DataFrame:
+    from locuswise.llm.hmm import scores
+
+    return scores(table(spark, sf_dir, "documents"))
