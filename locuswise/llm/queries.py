@@ -105,3 +105,10 @@ def _(spark, sf_dir) -> DataFrame:
     from locuswise.llm.hmm import scores
 
     return scores(table(spark, sf_dir, "documents"))
+
+
+@query("op9_ngram_jaccard")
+def _(spark, sf_dir) -> DataFrame:
+    from locuswise.llm.shingle_join import shingle_components
+
+    return shingle_components(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
