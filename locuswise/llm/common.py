@@ -36,3 +36,19 @@ def remainder(doc_id: Column, n: int) -> Column:
 def whole_text(text: str) -> Column:
     """The text, empty where it is null."""
     return F.coalesce(F.col(text).cast("string"), F.lit(""))
+
+
+def most_frequent(counts: DataFrame, limit: int) -> DataFrame:
+    """Rows of a stored table with the column ``c`` whose count no more than ``limit`` rows reach or exceed, cut at a sixteenth of an octave.
+
+    The histogram behind it has a bounded number of rows, whatever the table's size.
+    """
+    bucket = F.floor(F.log2("c") * 16)
+    sizes = sorted(((r["b"], r["n"]) for r in counts.groupBy(bucket.alias("b")).agg(F.count("*").alias("n")).collect()), reverse=True)
+    least, n = (sizes[0][0] + 1 if sizes else 0), 0
+    for b, m in sizes:
+        n += m
+        if n > limit:
+            break
+        least = b
+    return counts.filter(bucket >= least)

@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from locuswise.llm.common import remainder, stored, whole_text
+from locuswise.llm.common import most_frequent, remainder, stored, whole_text
 
 #: bound of the broadcast word table; classes of single words; classes of hashed words (class 0 is the end of a text)
 FREQUENT, OWN_CLASSES, HASH_CLASSES = 1 << 18, 1 << 14, 1 << 12
@@ -92,15 +92,7 @@ class Vocabulary:
 
 def vocabulary(counts: DataFrame, ends: int, frequent: int = FREQUENT, own_classes: int = OWN_CLASSES) -> Vocabulary:
     """``counts`` is a stored table (word, c); ``ends`` is the number of training texts."""
-    bucket = F.floor(F.log2("c") * 16)
-    sizes = sorted(((r["b"], r["n"]) for r in counts.groupBy(bucket.alias("b")).agg(F.count("*").alias("n")).collect()), reverse=True)
-    least, n = (sizes[0][0] + 1 if sizes else 0), 0
-    for b, m in sizes:
-        n += m
-        if n > frequent:
-            break
-        least = b
-    top = counts.filter(bucket >= least).toArrow()
+    top = most_frequent(counts, frequent).toArrow()
     words, c = top.column("word").to_pylist(), np.asarray(top.column("c"), np.int64)
     order = sorted(range(len(words)), key=lambda i: (-c[i], words[i]))
     index = {words[i]: k for k, i in enumerate(order)}

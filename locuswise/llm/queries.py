@@ -112,3 +112,11 @@ def _(spark, sf_dir) -> DataFrame:
     from locuswise.llm.shingle_join import shingle_components
 
     return shingle_components(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
+@query("op8_sentencepiece")
+def _(spark, sf_dir) -> DataFrame:
+    from locuswise.llm.pieces import decode, digest, encode
+
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    return digest(decode(encode(table(spark, sf_dir, "documents"), model), model))
