@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from importlib import import_module
+
 import public_tokenizers
 from pyspark.sql import DataFrame
 
@@ -22,6 +24,9 @@ def query(name: str, sql: str | None = None):
 
 
 def load_all() -> dict[str, Query]:
+    if "pipeline" not in REGISTRY:
+        pipeline = import_module("corpus_pipeline")
+        REGISTRY["pipeline"] = Query(pipeline.run, pipeline.ORACLE_SQL)
     return dict(REGISTRY)
 
 
