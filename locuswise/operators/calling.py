@@ -154,15 +154,16 @@ def allele_count_likelihoods(gl3: Column) -> Column:
 
 
 def call_genotypes(
-    gls: DataFrame, sites: DataFrame, theta: float = THETA_SNP, emit: float = 30.0, call: float = 30.0
+    gls: DataFrame, sites: DataFrame, theta: float = THETA_SNP, emit: float = 30.0, call: float = 30.0, emit_all: bool = False
 ) -> DataFrame:
-    """Site quality and allele counts for the first alternate base of each site.
+    """Site quality and allele counts for each alternate base of each site.
 
-    One row per emitted site: QUAL is the phred-scaled posterior of no alternate copy under the
+    Every alternate is tested on its own against the reference base. One row per emitted (site, alternate), with
+    ``emit_all`` for each given one that has likelihoods: QUAL is the phred-scaled posterior of no alternate copy under the
     theta / k prior and the exact allele-count likelihood, MLEAC its most likely count. The samples
     of one site are collected into one array, which is bounded by the size of the cohort.
     """
-    s = sites.select("chrom", "pos", "ref", F.get("alts", F.lit(0)).alias("alt"))
+    s = sites.select("chrom", "pos", "ref", F.explode("alts").alias("alt"))
     r, a = F.col("ref"), F.col("alt")
     d = gls.join(s, ["chrom", "pos"]).select(
         "chrom", "pos", "ref", "alt", "depth",
@@ -185,15 +186,16 @@ def call_genotypes(
             "ac": F.aggregate(called, F.lit(0), lambda acc, x: acc + copies(x)),
         }
     ).withColumn("mleaf", F.least(F.lit(1.0), F.try_divide(F.col("mleac").cast("double"), F.col("an").cast("double"))))
-    return out.filter((F.col("mleac") > 0) & (F.col("qual") >= min(emit, call))).select(
+    seen = F.lit(True) if emit_all else (F.col("mleac") > 0) & (F.col("qual") >= min(emit, call))
+    return out.filter(seen).select(
         "chrom", "pos", "ref", "alt", "dp", "qual", F.when(F.col("qual") < call, "LowQual").otherwise("PASS").alias("filter"),
         "ac", "an", "mleac", "mleaf",
     )
 
 
 def assign_genotypes(gls: DataFrame, sites: DataFrame) -> DataFrame:
-    """Best genotype, GQ and PL per (site, sample) for the first alternate base."""
-    s = sites.select("chrom", "pos", "ref", F.get("alts", F.lit(0)).alias("alt"))
+    """Best genotype, GQ and PL per (site, sample) for each alternate base against the reference base."""
+    s = sites.select("chrom", "pos", "ref", F.explode("alts").alias("alt"))
     r, a = F.col("ref"), F.col("alt")
     d = gls.join(s, ["chrom", "pos"]).withColumn("_g", F.array(_pick(r, r), _pick(r, a), _pick(a, a)))
     top = F.array_max("_g")
@@ -212,16 +214,16 @@ def assign_genotypes(gls: DataFrame, sites: DataFrame) -> DataFrame:
 
 
 def genotype_given(gls: DataFrame, alleles: DataFrame, **kw) -> DataFrame:
-    """Call only the sites of a user table (chrom, pos, ref, alts), with its alleles; all are emitted."""
-    kw.setdefault("emit", 0.0)
-    return call_genotypes(gls, alleles, **kw)
+    """Call only the sites of a user table (chrom, pos, ref, alts), with its alleles; all are emitted, hom-ref ones too."""
+    return call_genotypes(gls, alleles, emit_all=True, **kw)
 
 
 def ref_confidence(depth: DataFrame, theta: float = THETA_SNP) -> DataFrame:
     """Phred confidence that a site is reference from depths alone: product of 1 - theta/2 * 0.5^d over samples."""
-    term = F.log10(1.0 - F.lit(theta / 2) * F.pow(F.lit(0.5), F.col("depth")))
+    # log1p and expm1 keep the digits of deep sites, where every term is next to 1
+    term = F.log1p(-F.lit(theta / 2) * F.pow(F.lit(0.5), F.col("depth")))
     g = depth.groupBy("chrom", "pos").agg(F.sum(term).alias("_log"))
-    return g.select("chrom", "pos", (-10.0 * F.log10(1.0 - F.pow(F.lit(10.0), "_log"))).alias("ref_conf"))
+    return g.select("chrom", "pos", (-10.0 * F.log10(-F.expm1("_log"))).alias("ref_conf"))
 
 
 def ref_vs_any(pileup: DataFrame, ref: DataFrame, min_base_quality: int = 10) -> DataFrame:
@@ -295,13 +297,14 @@ def consensus_indels(pileup: DataFrame, blocks: DataFrame, min_count: int = 5, m
 
 
 def allele_frequency_em(gl3: DataFrame, ref_count: float = 10.0, alt_count: float = 0.01, steps: int = 20) -> DataFrame:
-    """Allele counts of biallelic sites by iteration, with P(no variant).
+    """Allele counts by iteration, with P(no variant), for each alternate of a site on its own.
 
-    ``gl3`` has chrom, pos, sample, rr, ra, aa. Each step turns pseudocounts plus expected allele
+    ``gl3`` has chrom, pos, sample, rr, ra, aa, and alt where sites have several alternates. Each step turns pseudocounts plus expected allele
     counts into frequencies and these into genotype posteriors; a fixed number of steps runs inside
     the row of the site over the array of its samples. P(no variant) multiplies hom-ref posteriors.
     """
-    g = gl3.groupBy("chrom", "pos").agg(F.sort_array(F.collect_list(F.struct("sample", "rr", "ra", "aa"))).alias("g"))
+    keys = ["chrom", "pos", *(["alt"] if "alt" in gl3.columns else [])]
+    g = gl3.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("sample", "rr", "ra", "aa"))).alias("g"))
 
     def posterior(x, f):
         top = F.greatest(x["rr"], x["ra"], x["aa"])
@@ -322,4 +325,4 @@ def allele_frequency_em(gl3: DataFrame, ref_count: float = 10.0, alt_count: floa
     alt = F.aggregate(F.sequence(F.lit(1), F.lit(steps)), F.lit(0.0), lambda acc, _i: expected(freq(acc)))
     d = g.withColumn("alt_copies", alt)
     none = F.aggregate("g", F.lit(0.0), lambda acc, x: acc + F.log10(posterior(x, freq(F.col("alt_copies")))[0]))
-    return d.select("chrom", "pos", F.size("g").alias("samples"), "alt_copies", none.alias("log10_no_variant"))
+    return d.select(*keys, F.size("g").alias("samples"), "alt_copies", none.alias("log10_no_variant"))

@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 MIN_SCORED_QUALITY = 15  # fixed value: only bases of at least this quality add to a read's score
 
 
+NOT_PRIMARY = 0x900  # fixed value: flag bits of secondary and supplementary lines
+
+
 def read_score(quals: Column, offset: int = 33) -> Column:
     """Sum of base qualities of at least 15."""
     return F.aggregate(
@@ -52,9 +55,14 @@ def mark_duplicates(reads: DataFrame) -> DataFrame:
     A cluster is (library, both 5' ends, orientation); the best has the highest score, then the
     smallest name. The best is an aggregate, so a cluster of any size is reduced on the map side,
     and the join back runs on the read name, which is spread evenly however large one cluster is.
-    Unmapped reads pass through unmarked.
+    Unmapped, secondary and supplementary lines pass through unmarked; supplementary ones are told
+    by a column ``is_supplementary`` or by the bits of ``flag``.
     """
     usable = ~F.col("is_unmapped") & ~F.col("is_secondary")
+    if "is_supplementary" in reads.columns:
+        usable &= ~F.col("is_supplementary")
+    if "flag" in reads.columns:
+        usable &= F.col("flag").bitwiseAND(NOT_PRIMARY) == 0
     ends = fragment_ends(reads.filter(usable))
     best = (
         ends.groupBy("library", "chrom1", "pos1", "chrom2", "pos2", "orientation")

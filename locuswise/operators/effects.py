@@ -247,14 +247,14 @@ def annotate_gene(variants: DataFrame, genes: DataFrame, fields: Sequence[str],
 
 
 def annotate_with_cache(variants: DataFrame, cache: DataFrame, compute, key: Sequence[str] = ("chrom", "pos", "ref", "alt")):
-    """Cached annotations where present, computed ones elsewhere.
+    """Variants with cached annotations where present, computed ones elsewhere; all columns of ``variants`` stay.
 
-    Returns (all rows, new rows); the caller appends the new rows to the cache table.
+    Returns (all rows, new rows of the cache); the caller appends the latter to the cache table.
     """
     key = list(key)
-    known = variants.select(*key).join(cache, key)
+    known = variants.join(cache, key)
     new = compute(variants.join(cache.select(*key), key, "left_anti")).select(*known.columns)
-    return known.unionByName(new), new
+    return known.unionByName(new), new.select(*cache.columns).distinct()
 
 
 def group_loci(variants: DataFrame) -> DataFrame:

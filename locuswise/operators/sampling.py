@@ -49,7 +49,7 @@ def fraction(df: DataFrame, share: float, key: Sequence[str], seed: int = 0) ->
     return d.filter(unit < share).drop("_draw")
 
 
-def level_stacks(sizes: DataFrame, target: int, stack: Sequence[str], minimum: int = 1, order: str = "_order") -> DataFrame:
+def level_stacks(sizes: DataFrame, target: int, stack: Sequence[str], minimum: int = 1, order: str = "_order", tile: float = 4096) -> DataFrame:
     """Quota per stack after removing one row at a time from each stack in turn until ``target`` is left.
 
     ``sizes`` has the stack columns, ``n`` and an order number (0-based). Removing in turns lowers
@@ -86,22 +86,24 @@ def level_stacks(sizes: DataFrame, target: int, stack: Sequence[str], minimum: i
     giving = F.col("n") - minimum > F.col("rounds")
     # place among the stacks that can still give, by order
     alive_rows = running(
-        j.withColumn("_live", giving.cast("long")), [], order, {"_place": ("sum", F.col("_live"))}, tile=4096
+        j.withColumn("_live", giving.cast("long")), [], order, {"_place": ("sum", F.col("_live"))}, tile=tile
     )
     more = (giving & (F.col("_place") <= F.col("extra"))).cast("long")
     quota = F.least(F.col("n"), F.greatest(F.lit(minimum).cast("long"), F.col("n") - F.col("rounds") - more))
     return alive_rows.select(*stack, "n", quota.alias("quota"))
 
 
-def leveling(df: DataFrame, target: int, key: Sequence[str], stack: Sequence[str] = ("pos",), minimum: int = 1, seed: int = 0):
+def leveling(df: DataFrame, target: int, key: Sequence[str], stack: Sequence[str] = ("chrom", "pos"), minimum: int = 1, seed: int = 0):
     """Trim the tallest stacks evenly until about ``target`` rows are left; no stack falls below ``minimum``.
 
-    ``stack[0]`` must be numeric when it is the only column: it also orders the stacks.
+    Stacks take turns in the order of the key if it is one number, else in the order of its hash.
     """
     stack = list(stack)
     sizes = df.groupBy(*stack).agg(F.count("*").alias("n"))
-    sizes = sizes.withColumn("_order", F.col(stack[0]))
-    quota = level_stacks(sizes, target, stack, minimum)
+    number = len(stack) == 1 and dict(df.dtypes)[stack[0]] in ("tinyint", "smallint", "int", "bigint")
+    sizes = sizes.withColumn("_order", F.col(stack[0]) if number else F.xxhash64(*stack))
+    # hashes fill the 64-bit range: 4,096 tiles of it
+    quota = level_stacks(sizes, target, stack, minimum, tile=4096 if number else 2.0**52)
     d = _draw(df, key, seed)
     # stacks that keep everything need no ranking
     j = d.join(quota, stack)

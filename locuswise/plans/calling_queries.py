@@ -67,23 +67,23 @@ def _pick(a, b):
 
 
 # exact allele counts by listing all genotype combinations of the four samples
-_CALLS = """t3 AS (SELECT l.chrom, l.pos, l.ref, ca.alts[1] AS alt, l.sample, """ + f"{_pick('l.ref', 'l.ref')} AS rr, {_pick('l.ref', 'ca.alts[1]')} AS ra, {_pick('ca.alts[1]', 'ca.alts[1]')} AS aa" + """
-    FROM lng l JOIN {sites} ca ON l.chrom = ca.chrom AND l.pos = ca.pos GROUP BY ALL),
+_CALLS = """t3 AS (SELECT l.chrom, l.pos, l.ref, ca.alt AS alt, l.sample, """ + f"{_pick('l.ref', 'l.ref')} AS rr, {_pick('l.ref', 'ca.alt')} AS ra, {_pick('ca.alt', 'ca.alt')} AS aa" + """
+    FROM lng l JOIN (SELECT chrom, pos, unnest(alts) AS alt FROM {sites}) ca ON l.chrom = ca.chrom AND l.pos = ca.pos GROUP BY ALL),
   w3 AS (SELECT *, greatest(rr, ra, aa) AS top, greatest(rr, ra, aa) - least(rr, ra, aa) > 1e-9 AS called, CASE WHEN rr >= ra AND rr >= aa THEN 0 WHEN ra >= aa THEN 1 ELSE 2 END AS copies FROM t3),
-  gx AS (SELECT chrom, pos, sample, unnest([0, 1, 2]) AS c, unnest([pow(10, rr - top), 2 * pow(10, ra - top), pow(10, aa - top)]) AS w FROM w3),
-  comb AS (SELECT st.chrom, st.pos, coalesce(a.c, 0) + coalesce(b.c, 0) + coalesce(d.c, 0) + coalesce(f.c, 0) AS k, sum(coalesce(a.w, 1) * coalesce(b.w, 1) * coalesce(d.w, 1) * coalesce(f.w, 1)) AS z
-     FROM (SELECT DISTINCT chrom, pos FROM w3) st LEFT JOIN gx a ON a.chrom = st.chrom AND a.pos = st.pos AND a.sample = 's0' LEFT JOIN gx b ON b.chrom = st.chrom AND b.pos = st.pos AND b.sample = 's1'
-     LEFT JOIN gx d ON d.chrom = st.chrom AND d.pos = st.pos AND d.sample = 's2' LEFT JOIN gx f ON f.chrom = st.chrom AND f.pos = st.pos AND f.sample = 's3' GROUP BY ALL),
+  gx AS (SELECT chrom, pos, alt, sample, unnest([0, 1, 2]) AS c, unnest([pow(10, rr - top), 2 * pow(10, ra - top), pow(10, aa - top)]) AS w FROM w3),
+  comb AS (SELECT st.chrom, st.pos, st.alt, coalesce(a.c, 0) + coalesce(b.c, 0) + coalesce(d.c, 0) + coalesce(f.c, 0) AS k, sum(coalesce(a.w, 1) * coalesce(b.w, 1) * coalesce(d.w, 1) * coalesce(f.w, 1)) AS z
+     FROM (SELECT DISTINCT chrom, pos, alt FROM w3) st LEFT JOIN gx a ON a.chrom = st.chrom AND a.pos = st.pos AND a.alt = st.alt AND a.sample = 's0' LEFT JOIN gx b ON b.chrom = st.chrom AND b.pos = st.pos AND b.alt = st.alt AND b.sample = 's1'
+     LEFT JOIN gx d ON d.chrom = st.chrom AND d.pos = st.pos AND d.alt = st.alt AND d.sample = 's2' LEFT JOIN gx f ON f.chrom = st.chrom AND f.pos = st.pos AND f.alt = st.alt AND f.sample = 's3' GROUP BY ALL),
   nn AS (SELECT chrom, pos, ref, alt, 2 * count(*) AS n, CAST(2 * count(*) FILTER (called) AS INT) AS an, CAST(sum(copies) FILTER (called) AS INT) AS ac FROM w3 GROUP BY ALL),
   lk AS (SELECT comb.*, n, z / (gamma(n + 1) / gamma(k + 1) / gamma(n - k + 1)) AS lk, CASE WHEN k = 0 THEN 1 - 0.001 * list_sum(list_transform(range(1, n + 1), lambda i: 1.0 / i)) ELSE 0.001 / k END AS prior
-     FROM comb JOIN nn USING (chrom, pos)),
-  fin AS (SELECT chrom, pos, -10 * log10(greatest(sum(lk * prior) FILTER (k = 0) / sum(lk * prior), 1e-300)) AS qual, CAST(arg_max(k, round(lk, 12)) AS INT) AS mleac FROM lk GROUP BY ALL),
+     FROM comb JOIN nn USING (chrom, pos, alt)),
+  fin AS (SELECT chrom, pos, alt, -10 * log10(greatest(sum(lk * prior) FILTER (k = 0) / sum(lk * prior), 1e-300)) AS qual, CAST(arg_max(k, round(lk, 12)) AS INT) AS mleac FROM lk GROUP BY ALL),
   dps AS (SELECT chrom, pos, CAST(sum(depth) AS BIGINT) AS dp FROM gl WHERE depth > 2 GROUP BY ALL),
   out AS (SELECT nn.chrom, nn.pos, nn.ref, nn.alt, dp, round(qual, 4) AS qual, CASE WHEN qual < 30 THEN 'LowQual' ELSE 'PASS' END AS filter, coalesce(ac, 0) AS ac, an, mleac,
-     round(least(1.0, mleac / nullif(an, 0)), 6) AS mleaf FROM nn JOIN fin USING (chrom, pos) JOIN dps USING (chrom, pos) WHERE mleac > 0 AND qual >= {emit})"""
+     round(least(1.0, mleac / nullif(an, 0)), 6) AS mleaf FROM nn JOIN fin USING (chrom, pos, alt) JOIN dps USING (chrom, pos) WHERE {emit})"""
 
 
-@query("call_genotypes", "pileup refseq clean", _ALTS + ", " + _CALLS.format(sites="ca", emit=10) + " SELECT * FROM out")
+@query("call_genotypes", "pileup refseq clean", _ALTS + ", " + _CALLS.format(sites="ca", emit="mleac > 0 AND qual >= 10") + " SELECT * FROM out")
 def _(spark, sf_dir):
     r = fx.refseq(spark, sf_dir)
     g = cl.genotype_likelihoods(clean_pileup(spark, sf_dir), min_depth=2)
@@ -96,7 +96,7 @@ def _(spark, sf_dir):
     "pileup refseq clean",
     _ALTS
     + ", "
-    + _CALLS.format(sites="ca", emit=10)
+    + _CALLS.format(sites="ca", emit="mleac > 0 AND qual >= 10")
     + """, p AS (SELECT *, CAST(round((top - rr) * 10) AS INT) AS p0, CAST(round((top - ra) * 10) AS INT) AS p1, CAST(round((top - aa) * 10) AS INT) AS p2 FROM w3)
     SELECT sample, chrom, pos, ref, alt, concat_ws(',', CAST(p0 AS VARCHAR), CAST(p1 AS VARCHAR), CAST(p2 AS VARCHAR)) AS pl,
       CASE WHEN greatest(p0, p1, p2) = 0 THEN './.' WHEN p0 = 0 THEN '0/0' WHEN p1 = 0 THEN '0/1' ELSE '1/1' END AS gt, CAST(least(list_sort([p0, p1, p2])[2], 99) AS INT) AS gq FROM p""",
@@ -111,14 +111,14 @@ def _(spark, sf_dir):
     )
 
 
-_GIVEN = """gv AS (SELECT r.chrom, r.pos, r.base AS ref, [CASE WHEN r.base = 'A' THEN 'C' ELSE 'A' END] AS alts FROM refseq r JOIN variants v ON v.chrom = r.chrom AND v.pos = r.pos)"""
+_GIVEN = """gv AS (SELECT r.chrom, r.pos, r.base AS ref, CASE WHEN r.pos % 3 = 0 THEN [CASE WHEN r.base = 'A' THEN 'C' ELSE 'A' END] ELSE list_filter(['A', 'C', 'G', 'T'], lambda b: b <> r.base) END AS alts FROM refseq r JOIN variants v ON v.chrom = r.chrom AND v.pos = r.pos)"""
 
 
-@query("genotype_given", "pileup refseq clean variants", _ALTS + ", " + _GIVEN + ", " + _CALLS.format(sites="gv", emit=0) + " SELECT * FROM out")
+@query("genotype_given", "pileup refseq clean variants", _ALTS + ", " + _GIVEN + ", " + _CALLS.format(sites="gv", emit="TRUE") + " SELECT * FROM out")
 def _(spark, sf_dir):
     r = fx.refseq(spark, sf_dir)
     given = r.join(fx.variants(spark, sf_dir).select("chrom", "pos"), ["chrom", "pos"]).selectExpr(
-        "chrom", "pos", "base AS ref", "array(CASE WHEN base = 'A' THEN 'C' ELSE 'A' END) AS alts"
+        "chrom", "pos", "base AS ref", "CASE WHEN pos % 3 = 0 THEN array(CASE WHEN base = 'A' THEN 'C' ELSE 'A' END) ELSE filter(array('A', 'C', 'G', 'T'), b -> b <> base) END AS alts"
     )
     g = cl.genotype_likelihoods(clean_pileup(spark, sf_dir), min_depth=2)
     out = cl.genotype_given(g, given)
@@ -129,10 +129,10 @@ def _(spark, sf_dir):
     "ref_confidence",
     "reads",
     """d AS (SELECT sample, chrom, pos + i AS pos, count(*) AS depth FROM reads, (SELECT unnest(range(32)) AS i) WHERE NOT is_unmapped GROUP BY ALL)
-    SELECT chrom, pos, round(-10 * log10(1 - pow(10, sum(log10(1 - 0.0005 * pow(0.5, depth))))), 6) AS ref_conf FROM d WHERE depth <= 10 GROUP BY ALL""",
+    SELECT chrom, pos, round(-10 * log10(list_reduce(list(0.0005 * pow(0.5, depth)), lambda a, b: a + b - a * b)), 6) AS ref_conf FROM d GROUP BY ALL""",
 )
 def _(spark, sf_dir):
-    d = fx.pileup(spark, sf_dir).groupBy("sample", "chrom", "pos").agg(F.count("*").alias("depth")).filter("depth <= 10")
+    d = fx.pileup(spark, sf_dir).groupBy("sample", "chrom", "pos").agg(F.count("*").alias("depth"))
     return cl.ref_confidence(d).withColumn("ref_conf", F.round("ref_conf", 6))
 
 
@@ -208,10 +208,10 @@ def _(spark, sf_dir):
 def _(spark, sf_dir):
     r = fx.refseq(spark, sf_dir)
     g = cl.genotype_likelihoods(clean_pileup(spark, sf_dir), min_depth=2)
-    s = cl.choose_alts(g, r).select("chrom", "pos", "ref", F.get("alts", F.lit(0)).alias("alt"))
+    s = cl.choose_alts(g, r).select("chrom", "pos", "ref", F.explode("alts").alias("alt"))
     j = g.join(s, ["chrom", "pos"])
     three = j.select(
-        "chrom", "pos", "sample",
+        "chrom", "pos", "alt", "sample",
         cl._pick(F.col("ref"), F.col("ref")).alias("rr"), cl._pick(F.col("ref"), F.col("alt")).alias("ra"), cl._pick(F.col("alt"), F.col("alt")).alias("aa"),
     )
     return cl.allele_frequency_em(three)

@@ -227,7 +227,7 @@ def _(spark, sf_dir):
 @query(
     "annotate_with_cache",
     "variants",
-    """SELECT chrom, pos, ref, alt, CASE WHEN size % 3 = 0 THEN concat('cached', CAST(pos AS VARCHAR)) ELSE concat('new', CAST(pos AS VARCHAR)) END AS anno FROM variants""",
+    """SELECT *, CASE WHEN size % 3 = 0 THEN concat('cached', CAST(pos AS VARCHAR)) ELSE concat('new', CAST(pos AS VARCHAR)) END AS anno FROM variants""",
 )
 def _(spark, sf_dir):
     v = fx.variants(spark, sf_dir)

@@ -11,15 +11,9 @@ from pyspark.sql import functions as F
 SQL: dict[str, str] = {}
 
 
-def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
-    """One of the given tables.
-
-    ``spread`` deals a table that comes in fewer files than there are cores to all cores: a file
-    with one row group is one scan task. Tables of many files are left as they are scanned.
-    """
-    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    return df.repartition(cores) if spread and len(df.inputFiles()) < cores else df
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One of the given tables."""
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 SQL["reads"] = """
@@ -40,7 +34,7 @@ FROM (SELECT o_orderkey AS k, o_custkey AS c, m.mate_no,
 
 def reads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two mates per order; orders of one customer share a start, which makes duplicates."""
-    b = table(spark, sf_dir, "orders", spread=True).select(
+    b = table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("k"), F.col("o_custkey").alias("c"), F.explode(F.array(F.lit(1), F.lit(2))).alias("mate_no")
     ).withColumn("id", F.expr("concat(k, '.', mate_no)"))
     return b.selectExpr(

@@ -96,9 +96,7 @@ _SUM = _LINK + """, l2 AS (SELECT a[1] AS chrom1, a[2] AS start1, a[3] AS length
   tk AS (SELECT *, unnest(range(n, CAST(n + ceil(lam) * 2 + 201 AS BIGINT))) AS k FROM tm),
   tp AS (SELECT *, k * ln(lam) - lam - CASE WHEN k = 0 THEN 0 ELSE k * ln(k) - k + 0.5 * ln(2 * pi() * k) END AS lp FROM tk),
   tq AS (SELECT *, max(lp) OVER w AS mx FROM tp WINDOW w AS (PARTITION BY chrom1, start1, chrom2, start2, library)),
-  tc AS (SELECT *, mx + ln(sum(exp(lp - mx)) OVER w) AS cum, row_number() OVER w AS rn FROM tq WINDOW w AS (PARTITION BY chrom1, start1, chrom2, start2, library ORDER BY k ROWS UNBOUNDED PRECEDING)),
-  td AS (SELECT *, lag(cum) OVER w AS pv FROM tc WINDOW w AS (PARTITION BY chrom1, start1, chrom2, start2, library ORDER BY k)),
-  te AS (SELECT chrom1, start1, chrom2, start2, library, arg_min(pv, k) AS lt FROM td WHERE pv IS NOT NULL AND cum - pv < 0.01 GROUP BY ALL),
+  te AS (SELECT chrom1, start1, chrom2, start2, library, any_value(mx) + ln(sum(exp(lp - mx))) AS lt FROM tq GROUP BY ALL),
   tz AS (SELECT chrom1, start1, chrom2, start2, -10 * sum(lt) / ln(10) AS ph FROM te GROUP BY ALL)"""
 
 

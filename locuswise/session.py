@@ -41,9 +41,3 @@ def checkpoint_dir(spark: SparkSession) -> str:
     made = tempfile.mkdtemp(prefix="locuswise-ckpt-")
     spark.sparkContext.setCheckpointDir(made)
     return made
-
-
-def cut_lineage(df):
-    """Write ``df`` to the reliable checkpoint folder and read it back from there."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint()

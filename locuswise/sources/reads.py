@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from locuswise.functions import cigar as cg
 from locuswise.functions.flags import expand
+from locuswise.functions.lambdas import first_of_key
 from locuswise.sources.text import numbered_lines, read_lines
 
 
@@ -87,7 +88,7 @@ def read_sam(spark: SparkSession, path) -> DataFrame:
     """Alignment lines of SAM text with one boolean per flag bit and tags as a map."""
     c = read_lines(spark, path).filter("value NOT LIKE '@%' AND value <> ''").select(F.split("value", "\t").alias("c"), "file")
     star = lambda x: F.when(x != "*", x)
-    tags = F.map_from_entries(
+    tags = first_of_key(
         F.transform(
             F.slice("c", F.lit(12), F.greatest(F.size("c") - 11, F.lit(0))),
             lambda t: F.struct(F.left(t, F.lit(2)).alias("k"), F.substr(t, F.lit(6)).alias("v")),

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from locuswise.functions.lambdas import first_of_key
 from locuswise.operators.scan import running
 from locuswise.sources.text import numbered_lines, read_lines
 
@@ -19,7 +20,7 @@ def read_vcf(spark: SparkSession, path) -> DataFrame:
     dot = lambda x: F.when(x != ".", x)
     info = F.when(
         dot(_cell(7)).isNotNull(),
-        F.map_from_entries(
+        first_of_key(
             F.transform(
                 F.filter(F.split(_cell(7), ";"), lambda x: x != ""),
                 lambda x: F.struct(F.substring_index(x, "=", 1).alias("k"), F.when(x.contains("="), F.substr(x, F.instr(x, "=") + 1)).otherwise("").alias("v")),
