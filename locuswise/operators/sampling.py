@@ -93,12 +93,13 @@ def level_stacks(sizes: DataFrame, target: int, stack: Sequence[str], minimum: i
     return alive_rows.select(*stack, "n", quota.alias("quota"))
 
 
-def leveling(df: DataFrame, target: int, key: Sequence[str], stack: Sequence[str] = ("chrom", "pos"), minimum: int = 1, seed: int = 0):
+def leveling(df: DataFrame, target: int, key: Sequence[str], stack: Sequence[str] | None = None, minimum: int = 1, seed: int = 0):
     """Trim the tallest stacks evenly until about ``target`` rows are left; no stack falls below ``minimum``.
 
-    Stacks take turns in the order of the key if it is one number, else in the order of its hash.
+    A stack is a position of a contig unless ``stack`` names other columns. Stacks take turns in the order of the key if it is one
+    number, else in the order of its hash.
     """
-    stack = list(stack)
+    stack = list(stack or [c for c in ("chrom", "pos") if c in df.columns])
     sizes = df.groupBy(*stack).agg(F.count("*").alias("n"))
     number = len(stack) == 1 and dict(df.dtypes)[stack[0]] in ("tinyint", "smallint", "int", "bigint")
     sizes = sizes.withColumn("_order", F.col(stack[0]) if number else F.xxhash64(*stack))

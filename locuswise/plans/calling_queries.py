@@ -204,7 +204,18 @@ def _(spark, sf_dir):
     return cl.position_bases(_cigar_pileup(spark, sf_dir), fx.refseq(spark, sf_dir))
 
 
-@query("allele_frequency_em")
+# one row per step: copies from the frequency that the step before gives
+_EM = """/* recursive */ , st AS (SELECT chrom, pos, alt, 2.0 * count(*) AS n FROM t3 GROUP BY ALL),
+  wt AS (SELECT chrom, pos, alt, pow(10, rr - greatest(rr, ra, aa)) AS w0, 2 * pow(10, ra - greatest(rr, ra, aa)) AS w1, pow(10, aa - greatest(rr, ra, aa)) AS w2 FROM t3),
+  em AS (SELECT 0 AS k, chrom, pos, alt, n, CAST(0 AS DOUBLE) AS c FROM st UNION ALL
+    SELECT k + 1, chrom, pos, alt, n, sum((w1 * f * (1 - f) + 2 * w2 * f * f) / (w0 * (1 - f) * (1 - f) + w1 * f * (1 - f) + w2 * f * f))
+    FROM (SELECT *, (c + 0.01) / (n + 10.01) AS f FROM em WHERE k < 20) e JOIN wt USING (chrom, pos, alt) GROUP BY k, chrom, pos, alt, n),
+  fr AS (SELECT *, (c + 0.01) / (n + 10.01) AS f FROM em WHERE k = 20)
+  SELECT chrom, pos, alt, CAST(n / 2 AS INT) AS samples, round(c, 6) AS alt_copies, round(sum(log10(w0 * (1 - f) * (1 - f) / (w0 * (1 - f) * (1 - f) + w1 * f * (1 - f) + w2 * f * f))), 6) AS log10_no_variant
+  FROM fr JOIN wt USING (chrom, pos, alt) GROUP BY chrom, pos, alt, n, c"""
+
+
+@query("allele_frequency_em", "pileup refseq clean", _ALTS + ", " + _CALLS.format(sites="ca", emit="TRUE") + _EM)
 def _(spark, sf_dir):
     r = fx.refseq(spark, sf_dir)
     g = cl.genotype_likelihoods(clean_pileup(spark, sf_dir), min_depth=2)
@@ -214,4 +225,5 @@ def _(spark, sf_dir):
         "chrom", "pos", "alt", "sample",
         cl._pick(F.col("ref"), F.col("ref")).alias("rr"), cl._pick(F.col("ref"), F.col("alt")).alias("ra"), cl._pick(F.col("alt"), F.col("alt")).alias("aa"),
     )
-    return cl.allele_frequency_em(three)
+    out = cl.allele_frequency_em(three)
+    return out.withColumns({c: F.round(c, 6) for c in ("alt_copies", "log10_no_variant")})

@@ -23,7 +23,8 @@ def with_fixtures(names: str, body: str) -> str:
     """Prefix ``body`` (which may open with its own CTEs, written ``x AS (...), ... SELECT``) with fixture CTEs."""
     ctes = [f"{n} AS ({SQL[n]})" for n in _closure(names.split())]
     body = body.strip()
-    head = "WITH " + ",\n".join(ctes) if ctes else "WITH"
+    word = "WITH RECURSIVE" if "/* recursive */" in body else "WITH"
+    head = f"{word} " + ",\n".join(ctes) if ctes else word
     if body[:6].upper() == "SELECT":
         return head + "\n" + body if ctes else body
     return head + (",\n" if ctes else " ") + body

@@ -125,3 +125,14 @@ def test_leveling_quota(spark, target):
     df = spark.createDataFrame([(p, i) for p, n in sizes.items() for i in range(n)], "pos long, i int")
     got = {r.pos: r.n for r in leveling(df, target, ["pos", "i"]).groupBy("pos").agg(F.count("*").alias("n")).collect()}
     assert [got[p] for p in sizes] == want
+
+
+@pytest.mark.parametrize("target", [40, 25, 10])
+def test_leveling_of_stacks_on_two_contigs(spark, target):
+    sizes = {("a", 5): 3, ("b", 5): 20, ("b", 9): 1, ("c", 5): 30}
+    df = spark.createDataFrame([(c, p, i) for (c, p), n in sizes.items() for i in range(n)], "chrom string, pos long, i int")
+    got = {(r.chrom, r.pos): r.n for r in leveling(df, target, ["chrom", "pos", "i"]).groupBy("chrom", "pos").agg(F.count("*").alias("n")).collect()}
+    assert sum(got.values()) == target and set(got) == set(sizes)
+    # levelled: stacks that gave keep the same number, but for one
+    given = [n for k, n in got.items() if n < sizes[k]]
+    assert max(given) - min(given) <= max(0, max(sizes.values()) - min(sizes.values())) and all(n <= sizes[k] for k, n in got.items())

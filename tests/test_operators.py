@@ -124,3 +124,79 @@ def test_sequence(spark):
 def test_kernel_sums_to_one():
     k = smoothing_kernel()
     assert math.isclose(sum(k), 1.0) and k == k[::-1] and len(k) == 101
+
+
+def test_supplementary_lines_break_no_cluster(spark):
+    q = "I" * 4
+    rows = [
+        ("l", "a", 1, "c", 10, False, q, False, False, 67), ("l", "a", 2, "c", 90, True, q, False, False, 147),
+        ("l", "b", 1, "c", 10, False, q, False, False, 67), ("l", "b", 2, "c", 90, True, q, False, False, 147),
+        ("l", "a", 1, "d", 500, False, q, False, False, 67 + 2048),
+    ]
+    got = [(r.read_name, r.flag, r.is_duplicate) for r in duplicates.mark_duplicates(spark.createDataFrame(rows, READ + ", flag int")).collect()]
+    assert sorted(got) == [("a", 67, False), ("a", 147, False), ("a", 2115, False), ("b", 67, True), ("b", 147, True)]
+
+
+def test_exact_tests_of_deep_tables(spark):
+    c = [F.col(x) for x in "abcd"]
+
+    def fisher(a, b, cc, d):
+        row, col, n = a + b, a + cc, a + b + cc + d
+        w = {x: math.comb(row, x) * math.comb(n - row, col - x) for x in range(max(0, col - (n - row)), min(row, col) + 1)}
+        return sum(v for v in w.values() if v <= w[a]) / math.comb(n, col)
+
+    for t in ((600, 400, 60, 10), (5000, 4000, 3000, 6000), (0, 900, 700, 0), (300, 300, 300, 300)):
+        got = one(spark, st.fisher_two_sided(*c), **dict(zip("abcd", t)))
+        assert math.isclose(got, fisher(*t), rel_tol=1e-6, abs_tol=1e-300)
+    assert one(spark, st.fisher_two_sided(*c, scale_above=400), a=600, b=400, c=60, d=10) > fisher(600, 400, 60, 10)
+
+    def het(k, aa, bb):
+        n, rare = k + aa + bb, min(2 * aa + k, 2 * bb + k)
+        w = {h: 2.0**h * math.factorial(n) / (math.factorial(h) * math.factorial((rare - h) // 2) * math.factorial(n - h - (rare - h) // 2)) for h in range(rare % 2, rare + 1, 2)}
+        t = sum(w.values())
+        return sum(v for v in w.values() if v <= w[k] * (1 + 1e-9)) / t, (sum(v for h, v in w.items() if h > k) + w[k] / 2) / t
+
+    for k, aa, bb in ((30, 40, 20), (0, 50, 9), (60, 1, 1), (7, 0, 40)):
+        assert math.isclose(one(spark, st.hardy_weinberg_p(*c[:3]), a=k, b=aa, c=bb), min(1.0, het(k, aa, bb)[0]), rel_tol=1e-6)
+        assert math.isclose(one(spark, st.excess_het_p(*c[:3]), a=k, b=aa, c=bb), het(k, aa, bb)[1], rel_tol=1e-6, abs_tol=1e-12)
+
+
+def test_poisson_tail(spark):
+    for k, lam in ((2, 0.5), (10, 3.0), (5, 40.0), (900, 1000.0)):
+        pdf = lambda n, lam=lam: math.exp(n * math.log(lam) - lam - (n * math.log(n) - n + 0.5 * math.log(2 * math.pi * n) if n else 0.0))
+        want = math.log(sum(pdf(n) for n in range(k, k + 3000)))
+        assert math.isclose(one(spark, st.log_poisson_tail(F.col("k"), F.col("m")), k=k, m=lam), want, rel_tol=1e-9, abs_tol=1e-12)
+
+
+def test_every_alternate_is_counted_and_called(spark):
+    from locuswise.operators import annotations, calling
+
+    g = spark.createDataFrame([("c", 1, "A", ["C", "G", "T", "AC"], [4, 4]), ("c", 1, "A", ["C", "G", "T", "AC"], [0, 1]), ("c", 2, "A", ["C"], [-1, -1])], "chrom string, pos long, ref string, alts array<string>, gt array<int>")
+    got = {r.pos: (r.AN, r.AC, r.AF) for r in annotations.chromosome_counts(g).collect()}
+    assert got == {1: (4, [1, 0, 0, 2], [0.25, 0.0, 0.0, 0.5]), 2: (0, [0], [None])}
+    names = calling.GENOTYPES
+    gl = {n: -20.0 for n in names}
+    rows = [("s", "c", 1, 9, *({**gl, "CG": 0.0}[n] for n in names)), ("s", "c", 2, 9, *({**gl, "AA": 0.0}[n] for n in names))]
+    gls = spark.createDataFrame(rows, "sample string, chrom string, pos long, depth long, " + ", ".join(f"gl_{n} double" for n in names))
+    sites = spark.createDataFrame([("c", 1, "A", ["C", "G"]), ("c", 2, "A", ["T"])], "chrom string, pos long, ref string, alts array<string>")
+    given = {(r.pos, r.alt): r.mleac for r in calling.genotype_given(gls, sites).collect()}
+    assert set(given) == {(1, "C"), (1, "G"), (2, "T")} and given[2, "T"] == 0
+    assert {(r.pos, r.alt) for r in calling.assign_genotypes(gls, sites).collect()} == set(given)
+
+
+def test_repeated_keys_keep_the_first(spark):
+    from locuswise.functions.lambdas import first_of_key
+
+    got = spark.sql("SELECT array(named_struct('k', 'a', 'v', '1'), named_struct('k', 'b', 'v', '2'), named_struct('k', 'a', 'v', '3')) AS e").select(first_of_key(F.col("e"))).first()[0]
+    assert got == {"a": "1", "b": "2"}
+
+
+def test_recalibration_keeps_alignments_apart(spark):
+    t = spark.createDataFrame(
+        [("read_group", "g", None, None, 10, 1, 30.0, 20.0), ("quality", "g", 40, None, 10, 1, 40.0, 30.0), ("cycle", "g", 40, "1", 10, 1, 40.0, 25.0)],
+        "level string, read_group string, qual int, value string, observations long, errors long, reported double, empirical double",
+    )
+    r = spark.createDataFrame([("g", "n", 1, False, "ACGT", "IIII"), ("g", "n", 1, False, "AC", "II"), ("h", "n", 1, False, "AC", "I#"), ("g", "e", 1, False, "", "")], "read_group string, read_name string, mate_no int, is_reverse boolean, bases string, quals string")
+    got = sorted((x.read_group, x.read_name, x.quals) for x in bqsr.apply_bqsr(r, t).collect())
+    # 40 + (30 - 40), at cycle 1 also (25 - 40) - (30 - 40)
+    assert got == [("g", "e", ""), ("g", "n", ":?"), ("g", "n", ":???"), ("h", "n", "I#")]
