@@ -7,6 +7,8 @@ import tempfile
 
 from pyspark.sql import SparkSession
 
+_MADE: dict[str, str] = {}  # the local folder of an application that names none
+
 
 def local_session(cpus: int | None = None, app: str = "locuswise") -> SparkSession:
     cpus = cpus or int(os.environ.get("BENCH_CPUS", "8"))
@@ -38,6 +40,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return named
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
-    made = tempfile.mkdtemp(prefix="locuswise-ckpt-")
-    spark.sparkContext.setCheckpointDir(made)
-    return made
+    app = spark.sparkContext.applicationId
+    if app not in _MADE:
+        _MADE[app] = tempfile.mkdtemp(prefix="locuswise-ckpt-")
+        spark.sparkContext.setCheckpointDir(_MADE[app])
+    return _MADE[app]
