@@ -36,12 +36,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
-        spark.sparkContext.setCheckpointDir(named)
         return named
-    if not spark.sparkContext.master.startswith("local"):
+    if spark.sparkContext.master.split("[")[0] != "local":
         raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
     app = spark.sparkContext.applicationId
     if app not in _MADE:
         _MADE[app] = tempfile.mkdtemp(prefix="locuswise-ckpt-")
-        spark.sparkContext.setCheckpointDir(_MADE[app])
     return _MADE[app]
