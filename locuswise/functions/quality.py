@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -11,23 +9,10 @@ OFFSET = 33
 MAX_USABLE_QUALITY = 93
 
 
-def error_prob(q: Column) -> Column:
-    return F.pow(F.lit(10.0), -q / F.lit(10.0))
-
-
 def phred(p: Column) -> Column:
     return F.lit(-10.0) * F.log10(p)
 
 
-def bound_quality(q: Column, low: int = 1, high: int = MAX_USABLE_QUALITY) -> Column:
-    return F.greatest(F.lit(low), F.least(F.lit(high), q))
-
-
-def qual_array(quals: Column, offset: int = OFFSET) -> Column:
-    """Numeric qualities of an ASCII quality string."""
-    return F.transform(F.split(quals, ""), lambda c: F.ascii(c) - F.lit(offset))
-
-
 def rescale(quals: Column, from_offset: int = 64, to_offset: int = OFFSET) -> Column:
     """Shift every quality character from one offset to another."""
     moved = F.transform(
@@ -40,10 +25,3 @@ def cap_quality(q: Column, mapq: Column, minimum: int) -> Column:
     """Base quality capped at the mapping quality; below ``minimum`` it counts as 0."""
     capped = F.least(q, mapq)
     return F.when(capped < minimum, F.lit(0)).otherwise(capped)
-
-
-def log10_sum(cols: list[Column]) -> Column:
-    """log10 of the sum of 10**x over columns, anchored at the largest."""
-    top = F.greatest(*cols)
-    total = reduce(lambda a, b: a + b, [F.pow(F.lit(10.0), c - top) for c in cols])
-    return top + F.log10(total)

@@ -29,16 +29,6 @@ def count_base(seq: Column, base: str) -> Column:
     return F.length(seq) - F.length(F.replace(seq, F.lit(base), F.lit("")))
 
 
-def base_index(base: Column) -> Column:
-    """0..3 for A, C, G, T and -1 for anything else."""
-    at = F.instr(F.lit(BASES), F.upper(base)) - 1
-    return F.when(F.length(base) == 1, at).otherwise(F.lit(-1))
-
-
-def base_at(index: Column) -> Column:
-    return F.substring(F.lit(BASES), 1, 1) if isinstance(index, int) else F.substr(F.lit(BASES), index + 1, F.lit(1))
-
-
 def iupac_mask(code: Column) -> Column:
     """Bit set over A=1, C=2, G=4, T=8 for an IUPAC code; 0 for unknown letters."""
     bit = {b: 1 << i for i, b in enumerate(BASES)}

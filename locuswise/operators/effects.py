@@ -14,35 +14,38 @@ from locuswise.operators.intervals import interval_join
 from locuswise.operators.scan import with_row
 
 # Effect types from the most to the least severe.
-EFFECTS = """
-CHROMOSOME_LARGE_DELETION CHROMOSOME_LARGE_INVERSION CHROMOSOME_LARGE_DUPLICATION GENE_REARRANGEMENT GENE_DELETED
-TRANSCRIPT_DELETED EXON_DELETED EXON_DELETED_PARTIAL GENE_FUSION GENE_FUSION_REVERESE GENE_FUSION_HALF FRAME_SHIFT
-STOP_GAINED STOP_LOST START_LOST SPLICE_SITE_ACCEPTOR SPLICE_SITE_DONOR RARE_AMINO_ACID EXON_DUPLICATION
-EXON_DUPLICATION_PARTIAL EXON_INVERSION EXON_INVERSION_PARTIAL PROTEIN_PROTEIN_INTERACTION_LOCUS
-PROTEIN_STRUCTURAL_INTERACTION_LOCUS NON_SYNONYMOUS_CODING NON_SYNONYMOUS_STOP NON_SYNONYMOUS_START GENE_DUPLICATION
-TRANSCRIPT_DUPLICATION UTR_5_DELETED UTR_3_DELETED SPLICE_SITE_BRANCH_U12 SPLICE_SITE_REGION SPLICE_SITE_BRANCH
-SYNONYMOUS_CODING SYNONYMOUS_START SYNONYMOUS_STOP GENE_INVERSION TRANSCRIPT_INVERSION CODON_CHANGE CODON_INSERTION
-CODON_CHANGE_PLUS_CODON_INSERTION CODON_DELETION CODON_CHANGE_PLUS_CODON_DELETION UTR_5_PRIME UTR_3_PRIME START_GAINED
-MOTIF MOTIF_DELETED REGULATION MICRO_RNA FEATURE_FUSION UPSTREAM DOWNSTREAM NEXT_PROT INTRON_CONSERVED INTRON INTRAGENIC
-INTERGENIC_CONSERVED INTERGENIC CDS EXON TRANSCRIPT GENE SEQUENCE CHROMOSOME_ELONGATION CUSTOM CHROMOSOME GENOME NONE
-""".split()
+EFFECTS = (
+    "CHROMOSOME_LARGE_DELETION", "CHROMOSOME_LARGE_INVERSION", "CHROMOSOME_LARGE_DUPLICATION", "GENE_REARRANGEMENT", "GENE_DELETED",
+    "TRANSCRIPT_DELETED", "EXON_DELETED", "EXON_DELETED_PARTIAL", "GENE_FUSION", "GENE_FUSION_REVERESE", "GENE_FUSION_HALF", "FRAME_SHIFT",
+    "STOP_GAINED", "STOP_LOST", "START_LOST", "SPLICE_SITE_ACCEPTOR", "SPLICE_SITE_DONOR", "RARE_AMINO_ACID", "EXON_DUPLICATION",
+    "EXON_DUPLICATION_PARTIAL", "EXON_INVERSION", "EXON_INVERSION_PARTIAL", "PROTEIN_PROTEIN_INTERACTION_LOCUS",
+    "PROTEIN_STRUCTURAL_INTERACTION_LOCUS", "NON_SYNONYMOUS_CODING", "NON_SYNONYMOUS_STOP", "NON_SYNONYMOUS_START", "GENE_DUPLICATION",
+    "TRANSCRIPT_DUPLICATION", "UTR_5_DELETED", "UTR_3_DELETED", "SPLICE_SITE_BRANCH_U12", "SPLICE_SITE_REGION", "SPLICE_SITE_BRANCH",
+    "SYNONYMOUS_CODING", "SYNONYMOUS_START", "SYNONYMOUS_STOP", "GENE_INVERSION", "TRANSCRIPT_INVERSION", "CODON_CHANGE", "CODON_INSERTION",
+    "CODON_CHANGE_PLUS_CODON_INSERTION", "CODON_DELETION", "CODON_CHANGE_PLUS_CODON_DELETION", "UTR_5_PRIME", "UTR_3_PRIME", "START_GAINED",
+    "MOTIF", "MOTIF_DELETED", "REGULATION", "MICRO_RNA", "FEATURE_FUSION", "UPSTREAM", "DOWNSTREAM", "NEXT_PROT", "INTRON_CONSERVED",
+    "INTRON", "INTRAGENIC",
+    "INTERGENIC_CONSERVED", "INTERGENIC", "CDS", "EXON", "TRANSCRIPT", "GENE", "SEQUENCE", "CHROMOSOME_ELONGATION", "CUSTOM", "CHROMOSOME",
+    "GENOME", "NONE",
+)
 
 # Impact classes; effects not named here are MODIFIER.
-HIGH = """
-CHROMOSOME_LARGE_DELETION EXON_DELETED EXON_DELETED_PARTIAL EXON_DUPLICATION EXON_DUPLICATION_PARTIAL EXON_INVERSION
-EXON_INVERSION_PARTIAL FRAME_SHIFT GENE_DELETED GENE_FUSION GENE_FUSION_REVERESE GENE_FUSION_HALF GENE_REARRANGEMENT
-PROTEIN_PROTEIN_INTERACTION_LOCUS PROTEIN_STRUCTURAL_INTERACTION_LOCUS RARE_AMINO_ACID SPLICE_SITE_ACCEPTOR
-SPLICE_SITE_DONOR START_LOST STOP_GAINED STOP_LOST TRANSCRIPT_DELETED
-""".split()
-MODERATE = """
-CHROMOSOME_LARGE_INVERSION CODON_CHANGE_PLUS_CODON_DELETION CODON_CHANGE_PLUS_CODON_INSERTION CODON_DELETION
-CODON_INSERTION GENE_DUPLICATION GENE_INVERSION NON_SYNONYMOUS_CODING SPLICE_SITE_BRANCH_U12 TRANSCRIPT_DUPLICATION
-TRANSCRIPT_INVERSION UTR_3_DELETED UTR_5_DELETED
-""".split()
-LOW = """
-CHROMOSOME_LARGE_DUPLICATION CODON_CHANGE FEATURE_FUSION NON_SYNONYMOUS_START NON_SYNONYMOUS_STOP SPLICE_SITE_REGION
-SPLICE_SITE_BRANCH START_GAINED SYNONYMOUS_CODING SYNONYMOUS_START SYNONYMOUS_STOP MOTIF MOTIF_DELETED
-""".split()
+HIGH = (
+    "CHROMOSOME_LARGE_DELETION", "EXON_DELETED", "EXON_DELETED_PARTIAL", "EXON_DUPLICATION", "EXON_DUPLICATION_PARTIAL", "EXON_INVERSION",
+    "EXON_INVERSION_PARTIAL", "FRAME_SHIFT", "GENE_DELETED", "GENE_FUSION", "GENE_FUSION_REVERESE", "GENE_FUSION_HALF",
+    "GENE_REARRANGEMENT",
+    "PROTEIN_PROTEIN_INTERACTION_LOCUS", "PROTEIN_STRUCTURAL_INTERACTION_LOCUS", "RARE_AMINO_ACID", "SPLICE_SITE_ACCEPTOR",
+    "SPLICE_SITE_DONOR", "START_LOST", "STOP_GAINED", "STOP_LOST", "TRANSCRIPT_DELETED",
+)
+MODERATE = (
+    "CHROMOSOME_LARGE_INVERSION", "CODON_CHANGE_PLUS_CODON_DELETION", "CODON_CHANGE_PLUS_CODON_INSERTION", "CODON_DELETION",
+    "CODON_INSERTION", "GENE_DUPLICATION", "GENE_INVERSION", "NON_SYNONYMOUS_CODING", "SPLICE_SITE_BRANCH_U12", "TRANSCRIPT_DUPLICATION",
+    "TRANSCRIPT_INVERSION", "UTR_3_DELETED", "UTR_5_DELETED",
+)
+LOW = (
+    "CHROMOSOME_LARGE_DUPLICATION", "CODON_CHANGE", "FEATURE_FUSION", "NON_SYNONYMOUS_START", "NON_SYNONYMOUS_STOP", "SPLICE_SITE_REGION",
+    "SPLICE_SITE_BRANCH", "START_GAINED", "SYNONYMOUS_CODING", "SYNONYMOUS_START", "SYNONYMOUS_STOP", "MOTIF", "MOTIF_DELETED",
+)
 
 
 def effect_rank(effect: Column) -> Column:
