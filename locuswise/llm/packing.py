@@ -9,7 +9,9 @@ are opened and packed again together with those of other shards, in rounds that
 from __future__ import annotations
 
 import zlib
+from array import array
 from functools import lru_cache
+from itertools import filterfalse
 
 import numpy as np
 import pandas as pd
@@ -25,7 +27,7 @@ SHARD = 8_192
 #: emptiest bins that give tokens away in one round of the search, rounds, and rounds over shards
 DONORS, SWEEPS, ROUNDS = 48, 6, 6
 #: chunks of text whose identifiers a worker remembers; beyond it the memory starts afresh
-MEMO = 400_000
+MEMO = 1_000_000
 
 
 class Encoder:
@@ -40,34 +42,40 @@ class Encoder:
 
         self.lib = Tokenizer.from_file(path)
         self.special = [t.content for t in self.lib.get_added_tokens_decoder().values()]
-        self.memo: dict[str, bytes] = {}
+        self.first: dict[str, bytes] = {}
+        self.later: dict[str, bytes] = {}
+        (self.line_end,) = self._encode(["\n"])
 
     def _encode(self, texts: list[str]) -> list[bytes]:
-        return [np.asarray(e.ids, "<u4").tobytes() for e in self.lib.encode_batch_fast(texts, add_special_tokens=False)]
+        return [array("I", e.ids).tobytes() for e in self.lib.encode_batch_fast(texts, add_special_tokens=False)]
 
     def batch(self, texts: list[str]) -> list[bytes]:
-        if len(self.memo) >= MEMO:
-            self.memo.clear()
-        memo, out, whole, chunked = self.memo, [b""] * len(texts), [], []
-        need: set[str] = set()
+        # chunks at the start of a line, and chunks that a blank precedes
+        first, later = self.first, self.later
+        if len(first) + len(later) >= MEMO:
+            first.clear()
+            later.clear()
+        out, whole, divided = [b""] * len(texts), [], []
+        new_first: set[str] = set()
+        new_later: set[str] = set()
         for i, t in enumerate(texts):
             if DOUBLE.search(t) or any(s in t for s in self.special):
                 whole.append(i)
                 continue
-            parts: list[str] = []
-            for k, line in enumerate(t.split("\n")):
-                if k:
-                    parts.append("\n")
+            lines = []
+            for line in t.split("\n"):
                 head, *rest = line.split(" ")
-                if head:
-                    parts.append(head)
-                parts += [" " + x for x in rest]
-            chunked.append((i, parts))
-            need.update(parts)
-        new = [x for x in need if x not in memo]
-        memo.update(zip(new, self._encode(new), strict=True))
-        for i, parts in chunked:
-            out[i] = b"".join(map(memo.__getitem__, parts))
+                lines.append((head, rest))
+                if head not in first:
+                    new_first.add(head)
+                new_later.update(filterfalse(later.__contains__, rest))
+            divided.append((i, lines))
+        heads, rests = list(new_first), list(new_later)
+        first.update(zip(heads, self._encode(heads), strict=True))
+        later.update(zip(rests, self._encode([" " + x for x in rests]), strict=True))
+        of = later.__getitem__
+        for i, lines in divided:
+            out[i] = self.line_end.join([first[head] + b"".join(map(of, rest)) for head, rest in lines])
         if whole:
             for i, b in zip(whole, self._encode([texts[i] for i in whole]), strict=True):
                 out[i] = b
