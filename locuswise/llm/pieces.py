@@ -16,6 +16,8 @@ import zlib
 from collections import Counter
 from dataclasses import dataclass
 from functools import cached_property
+from itertools import filterfalse
+from operator import add
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +29,7 @@ from locuswise.llm.common import most_frequent, stored, whole_text
 SPACE = "▁"
 #: bound of the table of encoded segments that is shipped; longest segment that has a lattice
 FREQUENT, LONGEST = 1 << 18, 60
-HELD, MEMO = 300_000, 400_000
+HELD, MEMO = 300_000, 700_000
 UNIGRAM, BPE = 1, 2
 
 
@@ -76,13 +78,11 @@ class Pieces:
 
     def segments(self, text: str) -> list[str]:
         """Parts of an escaped text between which no piece reaches."""
-        ok, out, start = self.side_by_side, [], 0
-        for i in range(1, len(text)):
-            if text[i - 1 : i + 1] not in ok:
-                out.append(text[start:i])
-                start = i
-        out.append(text[start:])
-        return out
+        ok = self.side_by_side
+        cuts = [i for i, pair in enumerate(map(add, text, text[1:]), 1) if pair not in ok]
+        if not cuts:
+            return [text]
+        return [text[i:j] for i, j in zip([0, *cuts], [*cuts, len(text)], strict=True)]
 
     def merged(self, segment: str) -> list[int]:
         """Starts of the symbols of a segment after merging the best-scored (then leftmost) pair again and again."""
@@ -273,12 +273,10 @@ def encode(docs: DataFrame, model: str, *, doc_id: str = "doc_id", text: str = "
             out = []
             for t in b.column("text"):
                 parts = chunks(t.as_py(), p)
-                for c in parts:
-                    if c not in memo:
-                        if len(memo) >= MEMO:
-                            memo.clear()
-                            memo.update((x, of_chunk(x)) for x in set(parts))
-                        memo[c] = of_chunk(c)
+                if len(memo) >= MEMO:
+                    memo.clear()
+                for c in set(filterfalse(memo.__contains__, parts)):
+                    memo[c] = of_chunk(c)
                 out.append(b"".join(map(memo.__getitem__, parts)))
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("text"), pa.array(out, pa.binary())], names=["doc_id", "text", "ids"])
 
