@@ -28,6 +28,14 @@ CANDIDATES = {
     "phone": r"\+\d{1,3}[ .-]?\(?\d{2,4}\)?(?:[ .-]?\d{2,4}){2,3}(?!\d)|\(\d{3}\) ?\d{3}[ .-]\d{4}(?!\d)|(?<![\d.-])\d{3}[.-]\d{3}[.-]\d{4}(?![\d-])",
     "card": r"(?<![\d.-])(?:\d{4} \d{4} \d{4} \d{1,7}|\d{4}-\d{4}-\d{4}-\d{1,7}|\d{4} \d{6} \d{5}|\d{13,19})(?![\d-])",
 }
+#: characters of an account number, by country
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH CR HR LI LV", 22: "BG BH DE GB GE IE ME RS VA",
+    23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM",
+    28: "AL AZ BY CY DO GT HN HU LB NI PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+}
+#: candidates of a text are put together in blocks of so many; no result depends on it
+TOGETHER = 256
 ANY = "|".join(f"(?:{p})" for p in CANDIDATES.values())
 
 
@@ -179,6 +187,18 @@ def _secret(m: Column, kind: str, key: str) -> Column:
     return F.concat(head, permute_text(F.substring(m, F.char_length(head) + 1, F.char_length(m)), kind, key))
 
 
+def beginning(m: Column) -> Column:
+    """The part of a candidate that is tried: an account number without the words behind it, by its country's length, and a phone number without
+    the digits behind it (ten after +1, else at most 15 in all); the whole of any other."""
+    ends = "(?![A-Z0-9])"
+    own = F.regexp_extract(m, "|".join(f"^(?:{'|'.join(c.split())})(?: ?[A-Z0-9]){{{n - 2}}}{ends}" for n, c in IBAN_LENGTHS.items()), 0)
+    account = let(own, lambda x: F.when((x != "") & (_mod97(F.replace(x, F.lit(" "), F.lit(""))) == 1), x).otherwise(m))
+    one = F.regexp_extract(m, r"^\+1(?:[^0-9]*[0-9]){10}(?![0-9])", 0)
+    most = F.regexp_extract(m, r"^\+(?:[^0-9]*[0-9]){8,15}(?![0-9])", 0)
+    phone = let(F.coalesce(F.nullif(one, F.lit("")), F.nullif(most, F.lit("")), m), lambda x: F.when(x.rlike(f"^(?:{CANDIDATES['phone']})$"), x).otherwise(m))
+    return F.when(m.rlike(f"^(?:{CANDIDATES['iban']})$"), account).when(m.rlike(f"^(?:{CANDIDATES['phone']})$") & m.startswith("+"), phone).otherwise(m)
+
+
 def pseudonym(m: Column, key: str) -> Column:
     """Pseudonym of a candidate, by the first kind whose pattern it has; null if it isn't valid."""
     make = {"email": _email, "iban": _iban, "ip": _ip, "date": _date, "ssn": _ssn, "phone": _phone, "card": _card}
@@ -193,16 +213,39 @@ def pseudonym(m: Column, key: str) -> Column:
 def pseudonymised(docs: DataFrame, key: str, *, text: str = "text", count: str | None = None) -> DataFrame:
     """``docs`` with the values in ``text`` replaced; all other columns, whatever their names, stay.
 
-    Candidates that fail their check stay as they are, and so do texts without any. Null stays null, empty stays empty;
-    texts are read whole; repeated rows are treated each. ``count`` names a column for the number of values replaced.
+    Each place where a value may begin is tried, from left to right, but for those inside a value that has been replaced: what
+    fails its check stays, and a value inside or behind it is still found. No two kinds whose check can fail begin at one
+    place. Null stays null, empty stays empty; texts are read whole; repeated rows are treated each. ``count`` names a column
+    for the number of values replaced.
     """
     c = F.col(f"`{text}`").cast("string")
-    found = F.when(c.rlike("[0-9@=:]"), F.regexp_extract_all(c, F.lit(ANY), F.lit(0)))
-    step = docs.withColumn("_found", found)
-    step = step.withColumn("_new", F.when(F.size("_found") > 0, F.transform("_found", lambda m: pseudonym(m, key))))
-    between = F.split(c, ANY, -1)
-    parts = F.zip_with(between, F.zip_with("_found", "_new", lambda old, new: F.coalesce(new, old)), lambda gap, new: F.concat(gap, F.coalesce(new, F.lit(""))))
-    out = step.withColumn(text, F.when(F.col("_new").isNotNull(), F.array_join(parts, "")).otherwise(c))
+    some = c.rlike("[0-9@=:]")
+    step = docs.withColumn("_found", F.when(some, F.regexp_extract_all(c, F.lit(f"(?=({ANY}))"), F.lit(1))))
+    # the text cut before each candidate, so that part and candidate begin at one place
+    step = step.withColumn("_parts", F.when(F.size("_found") > 0, F.split(c, f"(?={ANY})", -1)))
+    resolved = F.transform("_found", lambda m: let(beginning(m), lambda used: F.struct(F.char_length(used).alias("used"), pseudonym(used, key).alias("new"))))
+    step = step.withColumn("_new", F.when(F.size("_found") > 0, resolved))
+    head = F.size("_parts") - F.size("_found")  # 1 if a part stands before the first candidate
+    items = F.zip_with(F.slice("_parts", head + 1, F.size("_found")), "_new", lambda part, v: F.struct(part.alias("part"), v["used"].alias("used"), v["new"].alias("new")))
+
+    def put(a: Column, x: Column) -> Column:
+        """One more part; ``skip`` characters of the value before reach into it."""
+        hit = (a["skip"] == 0) & x["new"].isNotNull()
+        gone = F.when(hit, x["used"]).otherwise(a["skip"])
+        return F.struct(
+            F.concat(a["s"], F.when(hit, x["new"]).otherwise(""), F.substring(x["part"], gone + 1, F.char_length(x["part"]))).alias("s"),
+            F.greatest(gone - F.char_length(x["part"]), F.lit(0)).alias("skip"),
+            (a["n"] + F.when(hit, 1).otherwise(0)).alias("n"),
+        )
+
+    def block(a: Column, some_items: Column) -> Column:
+        inner = F.aggregate(some_items, F.struct(F.lit("").alias("s"), a["skip"].alias("skip"), a["n"].alias("n")), put)
+        return let(inner, lambda b: F.struct(F.concat(a["s"], F.array(b["s"])).alias("s"), b["skip"].alias("skip"), b["n"].alias("n")))
+
+    begin = F.struct(F.when(head > 0, F.slice("_parts", 1, 1)).otherwise(F.array(F.lit(""))).alias("s"), F.lit(0).alias("skip"), F.lit(0).alias("n"))
+    joined = let(items, lambda all_: F.aggregate(F.transform(F.sequence(F.lit(1), F.size(all_), F.lit(TOGETHER)), lambda i: F.slice(all_, i, F.lit(TOGETHER))), begin, block))
+    step = step.withColumn("_made", F.when(F.size("_found") > 0, joined))
+    out = step.withColumn(text, F.when(F.col("_made").isNotNull(), F.array_join("_made.s", "")).otherwise(c))
     if count:
-        out = out.withColumn(count, F.coalesce(F.size(F.filter("_new", lambda x: x.isNotNull())), F.lit(0)).cast("long"))
+        out = out.withColumn(count, F.coalesce(F.col("_made.n"), F.lit(0)).cast("long"))
     return out.select(*(F.col(f"`{x}`") for x in docs.columns), *([count] if count else []))

@@ -80,6 +80,37 @@ def test_formats(spark):
     assert sum(other[i].text != got[i].text for i in range(len(texts))) == len(texts)
 
 
+#: a value, and what stands before and behind it; both stay
+NEIGHBOURS = [
+    ("", "ES91 2100 0418 4502 0005 1332", " BIC CAIXESBB"),
+    ("", "BE68 5390 0754 7034", " 2019 was"),
+    ("to ", "AT61 1904 3002 3457 3201", " A1 B2 C3 D4"),
+    ("", "FR14 2004 1010 0505 0001 3M02 606", " EUR"),
+    ("", "HU42 1177 3016 1111 1018 0000 0000", " HUF 12"),
+    ("ID42 ", "4111 1111 1111 1111", ""),
+    ("AT42 ", "4111 1111 1111 1111", " ok"),
+    ("2019 ", "4539 1488 0343 6467", " 2025"),
+    ("", "+1 415 555 2671", " 24 hours"),
+    ("", "+1 (415) 555-2671", " 2024 12"),
+    ("on 24 ", "+1.415.555.2671", ".10"),
+    ("12 ", "219-09-9999", " 12"),
+    ("12 ", "42.144.35.254", " 300.1.2.3"),
+    ("99 ", "1984-02-29", " 12"),
+    ("DE89 ", "bob.smith@example.com", " 12"),
+]
+
+
+def test_neighbours(spark):
+    got = run(spark, [x for a, v, b in NEIGHBOURS for x in (v, a + v + b)] + [" ".join(a + v + b + " ;" for a, v, b in NEIGHBOURS)])
+    for i, (a, v, b) in enumerate(NEIGHBOURS):
+        alone, amid = got[2 * i], got[2 * i + 1]
+        assert alone.text != v and len(alone.text) == len(v)
+        assert amid.text == a + alone.text + b and amid.n_values == 1  # linked to the same value alone
+    assert got[2 * len(NEIGHBOURS)].text == " ".join(a + got[2 * i].text + b + " ;" for i, (a, v, b) in enumerate(NEIGHBOURS))
+    # longer than any number: the longest beginning that may be one
+    assert re.fullmatch(r"\+49 (?!1234 5678 123 )\d{4} \d{4} \d{3} 4567", run(spark, ["+49 1234 5678 123 4567"])[0].text)
+
+
 def test_left_alone(spark):
     got = run(spark, [*PLAIN, None])
     assert [got[i].text for i in range(len(PLAIN) + 1)] == [*PLAIN, None]
