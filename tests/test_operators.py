@@ -200,3 +200,16 @@ def test_recalibration_keeps_alignments_apart(spark):
     got = sorted((x.read_group, x.read_name, x.quals) for x in bqsr.apply_bqsr(r, t).collect())
     # 40 + (30 - 40), at cycle 1 also (25 - 40) - (30 - 40)
     assert got == [("g", "e", ""), ("g", "n", ":?"), ("g", "n", ":???"), ("h", "n", "I#")]
+
+
+def test_haplotype_score_query_takes_every_position(spark):
+    from locuswise.plans import fixtures as fx
+    from locuswise.plans.registry import REGISTRY
+    import locuswise.plans.annotation_queries  # noqa: F401
+
+    sf = "/root/testdata/sf0.001"
+    reads = fx.reads(spark, sf).filter("NOT is_unmapped").selectExpr("chrom", "pos", "pos + read_len - 1 AS e").distinct().collect()
+    bases = {(r.chrom, r.pos) for r in fx.refseq(spark, sf).collect()}
+    want = {(r.chrom, p) for r in reads for p in range(r.pos + 5, r.e - 4)} & bases
+    got = [(r.chrom, r.pos) for r in REGISTRY["haplotype_score"].build(spark, sf).select("chrom", "pos").collect()]
+    assert len(got) == len(want) and set(got) == want
