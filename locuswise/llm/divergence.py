@@ -37,21 +37,22 @@ SOURCES, TERMS = 32, 1 << 13
 TERM = re.compile(rb"[a-z\x80-\xff]+")
 
 
-def _bit(lang: bytes, prefix: bytes) -> int:
-    return xxhash.xxh64_intdigest(lang + b"\0" + prefix, 42) % BITS
+def _bit(key: bytes, bits: int) -> int:
+    return xxhash.xxh64_intdigest(key, 42) % bits
 
 
 def _bitmap(rows: DataFrame) -> np.ndarray:
     """Bits of (lang, prefix) rows; at most ``BITS`` / 64 words come to the driver, whatever the number of rows."""
     key = F.concat(F.col("lang").cast("binary"), F.lit(b"\0"), F.col("prefix"))
+    size = BITS
 
     def words(batches):
         for b in batches:
-            bits = np.fromiter((xxhash.xxh64_intdigest(k.as_py(), 42) % BITS for k in b.column("key")), np.int64, b.num_rows)
+            bits = np.fromiter((_bit(k.as_py(), size) for k in b.column("key")), np.int64, b.num_rows)
             yield pa.RecordBatch.from_arrays([pa.array(bits >> 6), pa.array(np.left_shift(np.ones(len(bits), np.uint64), (bits & 63).astype(np.uint64)).view(np.int64))], names=["w", "m"])
 
     t = rows.select(key.alias("key")).mapInArrow(words, "w bigint, m bigint").groupBy("w").agg(F.bit_or("m").alias("m")).toArrow()
-    out = np.zeros(BITS >> 6, np.int64)
+    out = np.zeros(size >> 6, np.int64)
     out[np.asarray(t["w"])] = np.asarray(t["m"])
     return out
 
@@ -92,7 +93,7 @@ def _counted(docs: DataFrame, bitmap: np.ndarray | None, width: int | None, know
                 if bits is not None:
                     if width is not None and len(term) <= known:
                         return None
-                    at = _bit(lang, term[:known] if width is not None else term)
+                    at = _bit(lang + b"\0" + (term if width is None else term[:known]), 64 * len(bits))
                     if not bits[at >> 6] >> (at & 63) & 1:
                         return None
                 return (term, True) if width is None or len(term) <= width else (term[:width], False)
