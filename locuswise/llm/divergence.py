@@ -2,7 +2,7 @@
 
 The terms that enough documents of a language hold are found by iceberg refinement of byte prefixes. A level counts, for every
 language, the distinct documents of each prefix of its length; prefixes below the threshold are discarded with all that begins
-with them, terms that end within the level's length are complete, and the others are extended in the next level, until none is
+with them, terms shorter than the level's length are complete, and the others are extended in the next level, until none is
 left. What a level keeps reaches the next one's tasks as a bitmap of fixed size over hashed prefixes: a chance hit costs a
 count in the next level, where it falls below the threshold again, and changes no result.
 
@@ -24,17 +24,17 @@ from pyspark.sql import functions as F
 from locuswise.llm.common import stored, whole_text
 
 DOCUMENTS, TOP, SCALE = 10, 10, 1_000_000_000
-#: bytes of the first level's prefixes; each level doubles them
-FIRST = 3
+#: bytes of the first level's prefixes, and by how much each level multiplies them
+FIRST, GROWTH = 4, 3
 #: bits of the map that carries prefixes to the next level (4 MB)
 BITS = 1 << 25
-#: entries and bytes that a task's memory of terms holds before it hands its counts on and starts afresh
-HELD, HELD_BYTES = 1 << 18, 16 << 20
+#: counters, and bytes of terms read, after which a task hands its counts on and starts afresh
+HELD, HELD_BYTES = 1 << 19, 64 << 20
 #: sources of a language in a block, and terms of a language in a chunk, about
 SOURCES, TERMS = 32, 1 << 13
 
-# Fixed value: a run of bytes that are lower-case letters or parts of characters beyond ASCII, once A-Z are lower-cased.
-TERM = re.compile(rb"[a-z\x80-\xff]+")
+# Fixed value: the bytes of terms, which are lower-case letters or parts of characters beyond ASCII once A-Z are lower-cased.
+LETTER = rb"a-z\x80-\xff"
 
 
 def _bit(key: bytes, bits: int) -> int:
@@ -57,86 +57,70 @@ def _bitmap(rows: DataFrame) -> np.ndarray:
     return out
 
 
-class _Codes(dict):
-    """Number of what a term counts as (None of them: -1), found at its first use."""
-
-    def __init__(self, item):
-        super().__init__()
-        self.item, self.items, self.numbers, self.bytes = item, [], {}, 0
-
-    def __missing__(self, term: bytes) -> int:
-        x = self.item(term)
-        n = -1
-        if x is not None:
-            n = self.numbers.get(x)
-            if n is None:
-                n = self.numbers[x] = len(self.items)
-                self.items.append(x)
-        self[term] = n
-        self.bytes += 2 * len(term)
-        return n
-
-
-def _counted(docs: DataFrame, bitmap: np.ndarray | None, width: int | None, known: int) -> DataFrame:
-    """Counts over the terms whose first ``known`` bytes ``bitmap`` holds: lang, prefix, whole, n distinct documents by prefixes of
-    ``width`` bytes; or, without ``width``, lang, source, prefix (the term), whole, n occurrences."""
+def _counted(docs: DataFrame, bitmap: np.ndarray | None, known: int, width: int | None) -> DataFrame:
+    """Counts over the terms whose first ``known`` bytes the bitmap holds: lang, prefix, n distinct documents by prefixes of at most
+    ``width`` bytes; or, without ``width``, lang, source, prefix, n occurrences of the terms that the bitmap holds whole."""
     shared = None if bitmap is None else docs.sparkSession.sparkContext.broadcast(bitmap)
+    # shorter terms were complete in an earlier level; the rest of a longer one is read and left out
+    runs = re.compile(b"([%s]{%d,%d})[%s]*" % (LETTER, max(1, known), width, LETTER) if width else b"[%s]+" % LETTER)
+    first = known if width else None
 
     def run(batches):
         bits = None if shared is None else shared.value
-        codes: dict[str, _Codes] = {}
         totals: dict[tuple[str, str], Counter] = {}
-
-        def item(lang: bytes):
-            def of(term: bytes):
-                # a term that ended within an earlier level was counted there; when terms are summed, it has to be kept whole
-                if bits is not None:
-                    if width is not None and len(term) <= known:
-                        return None
-                    at = _bit(lang + b"\0" + (term if width is None else term[:known]), 64 * len(bits))
-                    if not bits[at >> 6] >> (at & 63) & 1:
-                        return None
-                return (term, True) if width is None or len(term) <= width else (term[:width], False)
-
-            return of
+        read = 0
 
         def handed_on():
-            rows = [(lang, source, *codes[lang].items[k], n) for (lang, source), c in totals.items() for k, n in c.items() if k >= 0]
-            codes.clear()
+            seen: dict[str, dict[bytes, bool]] = {}
+            rows = []
+            for (lang, source), c in totals.items():
+                head, stays = lang.encode() + b"\0", seen.setdefault(lang, {})
+                for x, n in c.items():
+                    key = x[:first]
+                    ok = stays.get(key)
+                    if ok is None:
+                        at = -1 if bits is None else _bit(head + key, 64 * len(bits))
+                        ok = stays[key] = at < 0 or bool(bits[at >> 6] >> (at & 63) & 1)
+                    if ok:
+                        rows.append((lang, source, x, n))
             totals.clear()
-            cols = zip(*rows, strict=True) if rows else ([],) * 5
-            kinds = (pa.string(), pa.string(), pa.binary(), pa.bool_(), pa.int64())
-            return pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(cols, kinds, strict=True)], names=["lang", "source", "prefix", "whole", "n"])
+            cols = zip(*rows, strict=True) if rows else ([],) * 4
+            kinds = (pa.string(), pa.string(), pa.binary(), pa.int64())
+            return pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(cols, kinds, strict=True)], names=["lang", "source", "prefix", "n"])
 
         for b in batches:
             for lang, source, text in zip(b.column("lang").to_pylist(), b.column("source").to_pylist(), b.column("text"), strict=True):
-                terms = TERM.findall(text.as_py().lower())
-                if lang not in codes:
-                    codes[lang] = _Codes(item(lang.encode()))
-                code, total = codes[lang].__getitem__, totals.setdefault((lang, source if width is None else ""), Counter())
-                total.update(map(code, terms) if width is None else set(map(code, set(terms))))
-                if sum(map(len, codes.values())) > HELD or sum(c.bytes for c in codes.values()) > HELD_BYTES:
+                terms = runs.findall(text.as_py().lower())
+                total = totals.setdefault((lang, "" if width else source), Counter())
+                total.update(set(terms) if width else terms)
+                read += sum(map(len, terms))
+                if read > HELD_BYTES or sum(map(len, totals.values())) > HELD:
                     yield handed_on()
+                    read = 0
         yield handed_on()
 
     slim = docs.select("lang", "source", F.col("text").cast("binary").alias("text"))
-    out = slim.mapInArrow(run, "lang string, source string, prefix binary, whole boolean, n bigint")
-    by = ["lang", "prefix", "whole"] if width else ["lang", "source", "prefix"]
-    counts = out.groupBy(*by).agg(F.sum("n").alias("n"))
-    return stored(counts.filter(F.col("n") >= DOCUMENTS) if width else counts)
+    out = slim.mapInArrow(run, "lang string, source string, prefix binary, n bigint")
+    counts = out.groupBy(*(["lang", "prefix"] if width else ["lang", "source", "prefix"])).agg(F.sum("n").alias("n"))
+    made = stored(counts.filter(F.col("n") >= DOCUMENTS) if width else counts)
+    if shared is not None:
+        shared.destroy()
+    return made
 
 
-def kept_terms(docs: DataFrame) -> DataFrame | None:
+def kept_terms(docs: DataFrame) -> DataFrame:
     """lang, prefix (the bytes of a complete term) of terms in at least ``DOCUMENTS`` documents of the language; ``docs`` has lang, source, text
-    without nulls."""
+    without nulls. A prefix shorter than its level's width is a term that ends there; one as long as that is extended in the next level."""
     bitmap, known, width, kept = None, 0, FIRST, None
     while True:
-        level = _counted(docs, bitmap, width, known)
-        whole = level.filter("whole").select("lang", "prefix")
+        level = _counted(docs, bitmap, known, width)
+        ended = F.length("prefix") < width
+        whole = level.filter(ended).select("lang", "prefix")
         kept = whole if kept is None else kept.unionByName(whole)
-        if level.filter("NOT whole").isEmpty():
+        longer = level.filter(~ended)
+        if longer.isEmpty():
             return stored(kept)
-        bitmap, known, width = _bitmap(level.filter("NOT whole")), width, 2 * width
+        bitmap, known, width = _bitmap(longer), width, GROWTH * width
 
 
 def scaled(count, total):
@@ -210,7 +194,7 @@ def source_divergence(docs: DataFrame, *, text: str = "text", lang: str = "lang"
     """
     slim = docs.select(*(whole_text(f"`{c}`").alias(n) for c, n in ((lang, "lang"), (source, "source"), (text, "text"))))
     kept = kept_terms(slim)
-    used = _counted(slim, _bitmap(kept), None, 0).join(kept, ["lang", "prefix"], "left_semi").withColumnRenamed("prefix", "term")
+    used = _counted(slim, _bitmap(kept), 0, None).join(kept, ["lang", "prefix"], "left_semi").withColumnRenamed("prefix", "term")
     used = stored(used)
     size = kept.groupBy("lang").agg(F.count("*").alias("v"))
     sums = used.groupBy("lang", "source").agg(F.sum("n").alias("n"))
