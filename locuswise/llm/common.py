@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,17 +20,53 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def stored(df: DataFrame) -> DataFrame:
-    """Write ``df`` as Parquet to the shared checkpoint folder and read it back.
+#: tables stored within each open ``scratch`` block, innermost last
+_OPEN: list[list[tuple[SparkSession, str]]] = []
 
-    Cuts the lineage by a table that outlives executors, and lets several readers share one computation.
-    """
+
+def _write(df: DataFrame, level: int) -> DataFrame:
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark)}/locuswise-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    if len(_OPEN) >= level:
+        _OPEN[-level].append((spark, path))
     return spark.read.schema(df.schema).parquet(path)
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """Write ``df`` as Parquet to the shared checkpoint folder and read it back.
+
+    Cuts the lineage by a table that outlives executors, and lets several readers share one computation. Within a ``scratch``
+    block the table lives until the block ends.
+    """
+    return _write(df, 1)
+
+
+def kept(df: DataFrame) -> DataFrame:
+    """``stored`` for what a ``scratch`` block gives to the code around it: the table outlives the block."""
+    return _write(df, 2)
+
+
+@contextmanager
+def scratch(shuffles: bool = False) -> Iterator[None]:
+    """Deletes the tables stored in the block when it ends; whatever is still read from them has to be ``kept`` by then.
+
+    With ``shuffles``, Spark is also made to look for the shuffle files of plans that nobody holds any more.
+    """
+    made: list[tuple[SparkSession, str]] = []
+    _OPEN.append(made)
+    try:
+        yield
+    finally:
+        _OPEN.remove(made)
+        for spark, name in made:
+            path = spark._jvm.org.apache.hadoop.fs.Path(name)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        if made and shuffles:
+            gc.collect()
+            made[0][0]._jvm.java.lang.System.gc()
+
+
 def remainder(doc_id: Column, n: int) -> Column:
     """crc32 of the id's decimal text, modulo ``n``; the fold of a document without an id is that of an empty text."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % n

@@ -14,6 +14,7 @@ import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from locuswise.llm.common import BLANKS, stored, whole_text
 
@@ -29,9 +30,9 @@ def normalised(text: str):
 def _sorted(docs: DataFrame, doc_id: str, text: str, carry: list[str]) -> DataFrame:
     """Rows in content order, of a group the longest original (then the smallest id, nulls last) first."""
     keys = docs.select(
-        F.col(doc_id).alias("_id"), F.substring(normalised(text), 1, LEAD).alias("_lead"), F.unhex(F.sha2(normalised(text).cast("binary"), 256)).alias("_sha"),
-        (-F.char_length(whole_text(text))).alias("_less"), F.col(doc_id).isNull().alias("_none"), whole_text(text).alias("_text"),
-        *([F.struct(*(F.col(c) for c in carry)).alias("_row")] if carry else []),
+        F.col(f"`{doc_id}`").alias("_id"), F.substring(normalised(text), 1, LEAD).alias("_lead"), F.unhex(F.sha2(normalised(text).cast("binary"), 256)).alias("_sha"),
+        (-F.char_length(whole_text(text))).alias("_less"), F.col(f"`{doc_id}`").isNull().alias("_none"), whole_text(text).alias("_text"),
+        *([F.struct(*(F.col(f"`{c}`") for c in carry)).alias("_row")] if carry else []),
     )
     order = ["_lead", "_sha", "_less", "_none", "_id"]
     return keys.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_norm", normalised("_text").cast("binary"))
@@ -114,7 +115,8 @@ def exact_copies(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text")
 
 
 def drop_copies(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns; rules as in ``exact_copies``."""
+    """The rows of ``docs`` that stay, with all their columns whatever their names; rules as in ``exact_copies``: of null, empty and blank texts
+    one row stays in all, of repeated rows one, and an empty table stays empty."""
     fields = docs.schema
 
     def heads(batches):
@@ -148,8 +150,8 @@ def drop_copies(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text")
             yield h.set_column(5, "edge", pa.array([last], pa.binary()))
 
     marked = _sorted(docs, doc_id, text, docs.columns).select("_norm", "_row")
-    row = marked.schema["_row"].dataType.simpleString()
-    kept = stored(marked.mapInArrow(heads, f"_row {row}, pid int, run bigint, keep bigint, size bigint, edge binary"))
+    schema = StructType([marked.schema["_row"]]).add("pid", "integer").add("run", "long").add("keep", "long").add("size", "long").add("edge", "binary")
+    kept = stored(marked.mapInArrow(heads, schema))
     later = _edge_chains(kept.filter("edge IS NOT NULL")).filter("later").select("pid", "run")
     out = kept.join(F.broadcast(later), ["pid", "run"], "left_anti").select("_row.*")
     return out.select(*(F.col(f"`{f.name}`") for f in fields))

@@ -171,7 +171,7 @@ def languages(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", la
     Learns from rows with text and language outside the held-out fold. Null text, empty text and text without a letter give
     ``und`` with score 0, and so does everything where there is nothing to learn from. Score is the posterior of the
     predicted language; a tie goes to the language first in the alphabet. A null id is held in the fold of the empty id.
-    Repeated rows are predicted each; other columns are not read.
+    Repeated rows are predicted each; other columns are not read. More than ``MAX_LANGUAGES`` languages raise an error.
     """
     model = fit(docs.filter(~held_out(F.col(doc_id))), text=text, lang=lang, rows=rows)
     predict = predictor(docs, model)
@@ -180,8 +180,11 @@ def languages(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", la
 
 
 def keep_known(docs: DataFrame, *, least: float = 0.5, doc_id: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
-    """The rows of ``docs``, all columns, whose text has a language predicted with a score of ``least`` or more."""
+    """The rows of ``docs``, all columns whatever their names, whose text has a language predicted with a score of ``least`` or more.
+
+    Null, empty and letterless texts go; repeated rows are judged alike; an empty table, or one to learn nothing from, keeps none.
+    """
     predict = predictor(docs, fit(docs.filter(~held_out(F.col(doc_id))), text=text, lang=lang))
-    p = "_predicted"
-    marked = docs.withColumn(p, predict(F.col(text).cast("string")))
-    return marked.filter(f"{p}.lang_pred <> '{NO_LANGUAGE}' AND {p}.score >= {least}").select(*(F.col(f"`{c}`") for c in docs.columns))
+    # the row in a struct: its columns may have any name
+    marked = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_all")).withColumn("_predicted", predict(F.col(f"_all.`{text}`").cast("string")))
+    return marked.filter(f"_predicted.lang_pred <> '{NO_LANGUAGE}' AND _predicted.score >= {least}").select("_all.*")

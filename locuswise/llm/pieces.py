@@ -29,7 +29,7 @@ from locuswise.llm.common import most_frequent, stored, whole_text
 SPACE = "▁"
 #: bound of the table of encoded segments that is shipped; longest segment that has a lattice
 FREQUENT, LONGEST = 1 << 18, 60
-HELD, MEMO = 300_000, 700_000
+HELD, MEMO = 300_000, 250_000
 UNIGRAM, BPE = 1, 2
 
 
@@ -259,8 +259,11 @@ def encode(docs: DataFrame, model: str, *, doc_id: str = "doc_id", text: str = "
             return np.array(p.ids(s, starts), code).tobytes()
 
         def of_chunk(c: str) -> bytes:
+            segments = p.segments(c)
+            if len(segments) == 1:  # remembered as a chunk
+                return of_segment(segments[0])
             parts = []
-            for s in p.segments(c):
+            for s in segments:
                 b = known.get(s)
                 if b is None:
                     if len(known) >= MEMO:

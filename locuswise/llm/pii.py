@@ -215,12 +215,14 @@ def pseudonymised(docs: DataFrame, key: str, *, text: str = "text", count: str |
 
     Each place where a value may begin is tried, from left to right, but for those inside a value that has been replaced: what
     fails its check stays, and a value inside or behind it is still found. No two kinds whose check can fail begin at one
-    place. Null stays null, empty stays empty; texts are read whole; repeated rows are treated each. ``count`` names a column
+    place. Null stays null, empty stays empty, an empty table too; texts are read whole; repeated rows are treated each. ``count`` names a column
     for the number of values replaced.
     """
-    c = F.col(f"`{text}`").cast("string")
+    # the row in a struct: its columns may have any name
+    docs_in_struct = docs.select(F.struct(*(F.col(f"`{x}`") for x in docs.columns)).alias("_all"))
+    c = F.col(f"_all.`{text}`").cast("string")
     some = c.rlike("[0-9@=:]")
-    step = docs.withColumn("_found", F.when(some, F.regexp_extract_all(c, F.lit(f"(?=({ANY}))"), F.lit(1))))
+    step = docs_in_struct.withColumn("_found", F.when(some, F.regexp_extract_all(c, F.lit(f"(?=({ANY}))"), F.lit(1))))
     # the text cut before each candidate, so that part and candidate begin at one place
     step = step.withColumn("_parts", F.when(F.size("_found") > 0, F.split(c, f"(?={ANY})", -1)))
     resolved = F.transform("_found", lambda m: let(beginning(m), lambda used: F.struct(F.char_length(used).alias("used"), pseudonym(used, key).alias("new"))))
@@ -245,7 +247,6 @@ def pseudonymised(docs: DataFrame, key: str, *, text: str = "text", count: str |
     begin = F.struct(F.when(head > 0, F.slice("_parts", 1, 1)).otherwise(F.array(F.lit(""))).alias("s"), F.lit(0).alias("skip"), F.lit(0).alias("n"))
     joined = let(items, lambda all_: F.aggregate(F.transform(F.sequence(F.lit(1), F.size(all_), F.lit(TOGETHER)), lambda i: F.slice(all_, i, F.lit(TOGETHER))), begin, block))
     step = step.withColumn("_made", F.when(F.size("_found") > 0, joined))
-    out = step.withColumn(text, F.when(F.col("_made").isNotNull(), F.array_join("_made.s", "")).otherwise(c))
-    if count:
-        out = out.withColumn(count, F.coalesce(F.col("_made.n"), F.lit(0)).cast("long"))
-    return out.select(*(F.col(f"`{x}`") for x in docs.columns), *([count] if count else []))
+    made = F.when(F.col("_made").isNotNull(), F.array_join("_made.s", "")).otherwise(c)
+    out = [made.alias(x) if x == text else F.col(f"_all.`{x}`").alias(x) for x in docs.columns]
+    return step.select(*out, *([F.coalesce(F.col("_made.n"), F.lit(0)).cast("long").alias(count)] if count else []))
