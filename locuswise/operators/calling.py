@@ -273,7 +273,7 @@ def consensus_indels(pileup: DataFrame, blocks: DataFrame, min_count: int = 5, m
     """Indel alleles seen often enough: ``min_count`` reads in all and a sample with ``min_fraction`` indel reads.
 
     Alleles are anchored at the base before the indel. Insertions with N and deletions over an
-    unknown reference are left out.
+    unknown reference, or past its end, are left out; a deletion has any length.
     """
     event = F.when(F.col("next_ins").isNotNull(), F.col("next_ins")).when(
         F.col("next_del").isNotNull(), F.concat(F.lit("D"), F.col("next_del").cast("string"))
@@ -292,8 +292,8 @@ def consensus_indels(pileup: DataFrame, blocks: DataFrame, min_count: int = 5, m
     is_del = F.col("event").startswith("D")
     return j.select(
         "chrom", "pos", F.col("_r").alias("ref"),
-        F.when(is_del, F.left(F.col("_r"), F.lit(1))).otherwise(F.concat("_r", "event")).alias("alt"), "n",
-    ).filter(~F.col("ref").contains("N") & ~F.col("alt").contains("N") & (F.col("ref") != ""))
+        F.when(is_del, F.left(F.col("_r"), F.lit(1))).otherwise(F.concat("_r", "event")).alias("alt"), "n", "_len",
+    ).filter(~F.col("ref").contains("N") & ~F.col("alt").contains("N") & (F.length("ref") == F.col("_len") + 1)).drop("_len")
 
 
 def allele_frequency_em(gl3: DataFrame, ref_count: float = 10.0, alt_count: float = 0.01, steps: int = 20) -> DataFrame:

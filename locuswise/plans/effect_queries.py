@@ -216,12 +216,11 @@ def _(spark, sf_dir):
 @query(
     "annotate_transcript",
     "variants feats",
-    _EFF + """ SELECT chrom, pos, ref, alt, transcript, CASE WHEN CAST(substr(transcript, 8) AS BIGINT) % 2 = 0 THEN concat('acc', transcript) END AS accession FROM fr WHERE effect = 'EXON'""",
+    _EFF + """ SELECT chrom, pos, ref, alt, transcript, CASE WHEN CAST(substr(transcript, 8) AS BIGINT) % 2 = 0 THEN concat('acc', transcript) END AS accession FROM fr""",
 )
 def _(spark, sf_dir):
     db = exons(spark, sf_dir).select("transcript").distinct().filter("CAST(substr(transcript, 8) AS BIGINT) % 2 = 0").withColumn("accession", F.concat(F.lit("acc"), "transcript"))
-    e = effects(spark, sf_dir).filter("effect = 'EXON'")
-    return ef.annotate_db(e, db, "transcript", ["accession"]).select("chrom", "pos", "ref", "alt", "transcript", "accession")
+    return ef.annotate_db(effects(spark, sf_dir), db, "transcript", ["accession"]).select("chrom", "pos", "ref", "alt", "transcript", "accession")
 
 
 @query(

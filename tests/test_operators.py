@@ -213,3 +213,21 @@ def test_haplotype_score_query_takes_every_position(spark):
     want = {(r.chrom, p) for r in reads for p in range(r.pos + 5, r.e - 4)} & bases
     got = [(r.chrom, r.pos) for r in REGISTRY["haplotype_score"].build(spark, sf).select("chrom", "pos").collect()]
     assert len(got) == len(want) and set(got) == want
+
+
+def test_reference_of_any_length(spark):
+    from locuswise.operators.annotations import sequence_context
+    from locuswise.operators.calling import consensus_indels
+    from locuswise.operators.reference import ref_blocks
+
+    bases = "".join("ACGT"[(i * 7 + i // 5) % 4] for i in range(3000)) + "A" * 3000 + "C" + "GT" * 1200 + "".join("ACGT"[(i * 5 + i // 3) % 4] for i in range(4000))
+    ref = ref_blocks(spark.createDataFrame([("c", i + 1, b) for i, b in enumerate(bases)], "chrom string, pos long, base string"))
+    pile = [("s", "c", 2500, None, 5000)] * 8 + [("s", "c", 2500, None, None)] * 4 + [("s", "c", len(bases) - 10, None, 50)] * 8
+    (r,) = consensus_indels(spark.createDataFrame(pile, "sample string, chrom string, pos long, next_ins string, next_del int"), ref).collect()
+    assert r.ref == bases[2499:7500] and r.alt == bases[2499] and r.n == 8
+    sites = [("c", 3000, "C", "A"), ("c", 6001, "C", "A"), ("c", 6001, "C", "CGT"), ("c", 6001, "CGT", "C"), ("c", 90_000, "C", "A")]
+    got = {(x.pos, x.ref, x.alt): x for x in sequence_context(spark.createDataFrame(sites, "chrom string, pos long, ref string, alt string"), ref).collect()}
+    assert len(got) == 5 and got[3000, "C", "A"].HRun == 3000 and got[6001, "C", "A"].HRun == 3001
+    assert (got[6001, "C", "CGT"].RPA_ref, got[6001, "C", "CGT"].RPA_alt) == (1200, 1201)
+    assert (got[6001, "CGT", "C"].RPA_ref, got[6001, "CGT", "C"].RPA_alt) == (1200, 1199)
+    assert got[90_000, "C", "A"].GC is None and got[90_000, "C", "A"].HRun is None
