@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from locuswise.functions.alleles import site_type
+from locuswise.operators.mixture import Parameters, fit_mixture
 from locuswise.operators.sampling import reservoir
 from locuswise.operators.scan import scan, with_row
 
@@ -124,23 +125,10 @@ def worst_variants(scored: DataFrame, cutoff: float = BAD_LOD) -> DataFrame:
     return scored.filter((F.col("lod") < cutoff) & ~F.col("failing_sd"))
 
 
-def fit_vqsr(training: DataFrame, k: int, seed: int = 7, max_iter: int = 150):
-    """Gaussian mixture over ``features`` by Spark ML's distributed EM.
-
-    The model has no Bayesian priors on weights and covariances, unlike a variational fit, so
-    components do not switch themselves off: choose a smaller ``k`` for little data.
-    """
-    from pyspark.ml.clustering import GaussianMixture
-    from pyspark.ml.functions import array_to_vector
-
-    vec = training.select(array_to_vector("features").alias("features"))
-    return GaussianMixture(k=k, seed=seed, maxIter=max_iter, tol=1e-3).fit(vec)
-
-
-def model_parameters(model) -> list[tuple[float, list[float], list[list[float]]]]:
-    """(weight, mean, covariance) of every component: a few small arrays."""
-    rows = model.gaussiansDF.collect()
-    return [(float(w), r["mean"].toArray().tolist(), r["cov"].toArray().tolist()) for w, r in zip(model.weights, rows)]
+def fit_vqsr(training: DataFrame, k: int, seed: int = 7, max_iter: int = 150) -> Parameters:
+    """(weight, mean, covariance) of the components of a Bayesian mixture over ``features``; ``k`` is their largest number, as
+    components that no rows support switch themselves off."""
+    return fit_mixture(training, k, seed, max_iter)
 
 
 def vqsr_model_report(spark, params, names: Sequence[str]) -> DataFrame:

@@ -7,8 +7,10 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
 from pyspark.sql import functions as F
 
+from locuswise.operators import mixture as mx
 from locuswise.operators import vqsr as vq
 from locuswise.plans import fixtures as fx
 from locuswise.plans.registry import query
@@ -165,15 +167,94 @@ def _(spark, sf_dir):
     return vq.sample_training(s, 300).select("chrom", "pos")
 
 
+def normalised(spark, sf_dir):
+    return vq.vqsr_normalise(featured(spark, sf_dir), NAMES).withColumn("prior", F.col("size") % 20 + 1.0).withColumn("at_anti", F.lit(False))
+
+
 def fitted(spark, sf_dir):
-    n = vq.vqsr_normalise(featured(spark, sf_dir), NAMES).withColumn("prior", F.lit(2.0)).withColumn("at_anti", F.lit(False))
-    good = vq.model_parameters(vq.fit_vqsr(vq.sample_training(n), k=3, max_iter=20))
-    first = vq.score_positive(n, good)
-    cut = first.agg(F.percentile_approx("lod", 0.1)).first()[0]
-    bad = vq.model_parameters(vq.fit_vqsr(vq.worst_variants(first, cut), k=2, max_iter=20))
+    n = normalised(spark, sf_dir)
+    good = vq.fit_vqsr(vq.sample_training(n), k=4, max_iter=12)
+    bad = vq.fit_vqsr(vq.worst_variants(vq.score_positive(n, good), -1.5), k=2, max_iter=12)
     return n, good, bad
 
 
+# Two models whose densities SQL can follow.
+_GOOD = [(0.55, [0.1, -0.2, 0.3], [[1.1, 0.2, 0.1], [0.2, 0.9, -0.1], [0.1, -0.1, 1.3]]), (0.45, [-0.6, 0.5, -0.4], [[0.7, -0.1, 0.2], [-0.1, 1.2, 0.1], [0.2, 0.1, 0.8]])]
+_BAD = [(1.0, [1.2, 0.8, -0.9], [[2.0, 0.3, 0.2], [0.3, 1.7, 0.4], [0.2, 0.4, 2.2]])]
+_Z = _FEAT + f""", z AS (SELECT chrom, pos, size, tr, f0 IS NULL AS gone, CASE WHEN f0 IS NULL THEN 0.1 * sqrt(-2 * ln({_U.format(1)})) * cos({2 * math.pi!r} * {_U.format(9)}) ELSE (f0 - m0) / s0 END AS z0, (f1 - m1) / s1 AS z1, (f2 - m2) / s2 AS z2 FROM ft, ms)"""
+
+
+def _quadratic(mean, cov, dims):
+    """SQL of the squared distance over some dimensions, and the matching determinant."""
+    c = np.array(cov)[np.ix_(dims, dims)]
+    inv = np.linalg.inv(c)
+    terms = [f"({inv[a, b]!r}) * (z{i} - ({mean[i]!r})) * (z{j} - ({mean[j]!r}))" for a, i in enumerate(dims) for b, j in enumerate(dims)]
+    return " + ".join(terms).replace("np.float64(", "(").replace("))", "))"), float(np.linalg.det(c))
+
+
+def _density(params, dims):
+    parts = []
+    for w, mean, cov in params:
+        quad, det = _quadratic(mean, cov, dims)
+        parts.append(f"{w / math.sqrt((2 * math.pi) ** len(dims) * det)!r} * exp(-0.5 * ({quad}))")
+    return "log10(" + " + ".join(parts) + ")"
+
+
+def _of(params):
+    return f"CASE WHEN gone THEN {_density(params, [1, 2])} ELSE {_density(params, [0, 1, 2])} END"
+
+
+@query(
+    "vqsr_score",
+    "sites",
+    _Z
+    + f""", d AS (SELECT *, {_of(_GOOD)} AS g, {_of(_BAD)} AS b, {", ".join(f"{_density(_GOOD, [i])} - {_density(_BAD, [i])} AS r{i}" for i in range(3))} FROM z),
+    o AS (SELECT *, log10(1 - pow(10, -(size % 20 + 1) / 10.0)) - log10(pow(10, -(size % 20 + 1) / 10.0)) AS odds FROM d)
+    SELECT chrom, pos, round(g, 6) AS positive, round(odds + g - b, 6) AS lod, list_sort(list_filter([CASE WHEN NOT gone THEN {{'r': r0, 'n': 'QD'}} END, {{'r': r1, 'n': 'SIZE'}}, {{'r': r2, 'n': 'PLACE'}}], lambda x: x IS NOT NULL))[1].n AS culprit FROM o""",
+)
+def _(spark, sf_dir):
+    n = vq.score_positive(normalised(spark, sf_dir), _GOOD).withColumnRenamed("lod", "positive")
+    out = vq.culprit(vq.score_vqsr(n, _GOOD, _BAD), _GOOD, _BAD, NAMES)
+    return out.select("chrom", "pos", F.round("positive", 6).alias("positive"), F.round("lod", 6).alias("lod"), "culprit")
+
+
+_STEP = mx.Posterior(np.array([60.0, 35.0]), np.array([41.0, 16.0]), np.array([40.001, 15.001]), np.array([[0.1, -0.2, 0.3], [-0.6, 0.5, -0.4]]), np.array([_GOOD[0][2], _GOOD[1][2]]) * 40)
+
+
+def _log_share(k):
+    quad, _ = _quadratic(_STEP.means[k].tolist(), _STEP.scales[k], [0, 1, 2])
+    x = np.zeros((1, 3)) + _STEP.means
+    head = math.log(mx.responsibilities(x[k : k + 1], _STEP)[0, k])
+    other = 1 - k
+    oq = (x[k] - _STEP.means[other]) @ np.linalg.inv(_STEP.scales[other]) @ (x[k] - _STEP.means[other])
+    return quad, head, float(oq)
+
+
+def _step_sql():
+    """Shares of two components as a logistic function of the difference of their quadratic forms; its constant is read off at one mean."""
+    (q0, head, far), (q1, _, _) = _log_share(0), _log_share(1)
+    # log(p0 / p1) at mean 0 is head - log(1 - e^head) = c + counts1 / 2 * far
+    c = head - math.log1p(-math.exp(head)) - 0.5 * float(_STEP.counts[1]) * far
+    return f"1 / (1 + exp(-({c!r} - 0.5 * {float(_STEP.counts[0])!r} * ({q0}) + 0.5 * {float(_STEP.counts[1])!r} * ({q1}))))"
+
+
+@query(
+    "mixture_moments",
+    "sites",
+    _Z
+    + f""", s AS (SELECT z0, z1, z2, {_step_sql()} AS p FROM z WHERE tr),
+    t AS (SELECT 0 AS component, p, z0, z1, z2 FROM s UNION ALL SELECT 1, 1 - p, z0, z1, z2 FROM s)
+    """
+    + " UNION ALL ".join(
+        f"SELECT component, {i} AS i, {j} AS j, round(sum(p{'' if i < 0 else f' * z{i}'}{'' if j < 0 else f' * z{j}'}), 5) AS value FROM t GROUP BY component"
+        for i, j in [(-1, -1), *((i, -1) for i in range(3)), *((i, j) for i in range(3) for j in range(i, 3))]
+    ),
+)
+def _(spark, sf_dir):
+    rows = normalised(spark, sf_dir).filter("at_training")
+    return mx.moments(rows, lambda x: mx.responsibilities(x, _STEP)).withColumn("value", F.round("value", 5))
+
+
 @query("vqsr_fit_score")
 def _(spark, sf_dir):
     n, good, bad = fitted(spark, sf_dir)
