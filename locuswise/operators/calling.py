@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from locuswise.functions.lambdas import let
+from locuswise.operators.allele_counts import allele_count_likelihoods, iterated_copies
 from locuswise.functions.quality import cap_quality
 from locuswise.operators.reference import with_ref
 
@@ -112,47 +113,6 @@ def af_prior(theta: float, n: Column) -> Column:
     )
 
 
-def allele_count_likelihoods(gl3: Column) -> Column:
-    """Likelihood of every alternate copy number of a site, up to a shared factor.
-
-    ``gl3`` is an array of structs (rr, ra, aa) of log10 likelihoods, one per sample. Samples are
-    convolved one at a time; the array is rescaled by its largest entry at every step.
-    """
-    weights = F.transform(
-        gl3,
-        lambda s: let(
-            F.greatest(s["rr"], s["ra"], s["aa"]),
-            lambda top: F.struct(
-                F.pow(F.lit(10.0), s["rr"] - top).alias("w0"),
-                (2.0 * F.pow(F.lit(10.0), s["ra"] - top)).alias("w1"),
-                F.pow(F.lit(10.0), s["aa"] - top).alias("w2"),
-            ),
-        ),
-    )
-    at = lambda z, i: F.when(i >= 0, F.coalesce(F.get(z, i), F.lit(0.0))).otherwise(F.lit(0.0))
-
-    def add_sample(acc, w):
-        grown = F.transform(
-            F.sequence(F.lit(0), F.size(acc["z"]) + 1),
-            lambda k: at(acc["z"], k) * w["w0"] + at(acc["z"], k - 1) * w["w1"] + at(acc["z"], k - 2) * w["w2"],
-        )
-        scaled = let(grown, lambda z: let(F.array_max(z), lambda m: F.transform(z, lambda x: F.try_divide(x, m))))
-        return F.struct(scaled.alias("z"))
-
-    # the accumulator is a struct so that its array type stays the same in every step
-    z = F.aggregate(weights, F.struct(F.array(F.lit(1.0)).alias("z")), add_sample, lambda acc: acc["z"])
-    log_choose = lambda n: F.aggregate(
-        F.sequence(F.lit(0), n),
-        F.struct(F.lit(0.0).alias("last"), F.array().cast("array<double>").alias("all")),
-        lambda acc, k: F.struct(
-            (acc["last"] + F.when(k < n, F.log((n - k).cast("double") / (k + 1))).otherwise(0.0)).alias("last"),
-            F.concat(acc["all"], F.array(acc["last"])).alias("all"),
-        ),
-        lambda acc: acc["all"],
-    )
-    return let(z, lambda v: F.zip_with(v, log_choose(F.size(v) - 1), lambda x, c: x / F.exp(c)))
-
-
 def call_genotypes(
     gls: DataFrame, sites: DataFrame, theta: float = THETA_SNP, emit: float = 30.0, call: float = 30.0, emit_all: bool = False
 ) -> DataFrame:
@@ -300,29 +260,10 @@ def allele_frequency_em(gl3: DataFrame, ref_count: float = 10.0, alt_count: floa
     """Allele counts by iteration, with P(no variant), for each alternate of a site on its own.
 
     ``gl3`` has chrom, pos, sample, rr, ra, aa, and alt where sites have several alternates. Each step turns pseudocounts plus expected allele
-    counts into frequencies and these into genotype posteriors; a fixed number of steps runs inside
-    the row of the site over the array of its samples. P(no variant) multiplies hom-ref posteriors.
+    counts into frequencies and these into genotype posteriors; a fixed number of steps runs over the site's samples, many sites at a
+    time. P(no variant) multiplies hom-ref posteriors.
     """
     keys = ["chrom", "pos", *(["alt"] if "alt" in gl3.columns else [])]
     g = gl3.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("sample", "rr", "ra", "aa"))).alias("g"))
-
-    def posterior(x, f):
-        top = F.greatest(x["rr"], x["ra"], x["aa"])
-        a = F.pow(F.lit(10.0), x["rr"] - top) * (1 - f) * (1 - f)
-        b = F.pow(F.lit(10.0), x["ra"] - top) * 2 * f * (1 - f)
-        c = F.pow(F.lit(10.0), x["aa"] - top) * f * f
-        t = a + b + c
-        return a / t, b / t, c / t
-
-    def expected(f):
-        def add(acc, x):
-            _, het, hom = posterior(x, f)
-            return acc + het + 2 * hom
-        return F.aggregate("g", F.lit(0.0), add)
-
-    n = 2.0 * F.size("g")
-    freq = lambda alt: (alt + alt_count) / (n + ref_count + alt_count)
-    alt = F.aggregate(F.sequence(F.lit(1), F.lit(steps)), F.lit(0.0), lambda acc, _i: expected(freq(acc)))
-    d = g.withColumn("alt_copies", alt)
-    none = F.aggregate("g", F.lit(0.0), lambda acc, x: acc + F.log10(posterior(x, freq(F.col("alt_copies")))[0]))
-    return d.select(*keys, F.size("g").alias("samples"), "alt_copies", none.alias("log10_no_variant"))
+    d = g.withColumn("_r", iterated_copies(F.col("g"), ref_count, alt_count, steps))
+    return d.select(*keys, F.size("g").alias("samples"), F.get("_r", F.lit(0)).alias("alt_copies"), F.get("_r", F.lit(1)).alias("log10_no_variant"))

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from locuswise.functions.alleles import genotype_index, remap_pl, trim_alleles
 from locuswise.functions.lambdas import let, record
 from locuswise.functions.stats import excess_het_p
-from locuswise.operators.calling import THETA_SNP, af_prior, allele_count_likelihoods
+from locuswise.operators.allele_counts import allele_count_likelihoods
+from locuswise.operators.calling import THETA_SNP, af_prior
 from locuswise.operators.intervals import interval_join, segments
 from locuswise.operators.scan import running
 

@@ -10,7 +10,7 @@ from locuswise.functions import cigar as cg
 from locuswise.functions import stats as st
 from locuswise.functions.sequence import iupac_match, reverse_complement
 from locuswise.operators import bqsr, duplicates, fastq, filters
-from locuswise.operators.calling import allele_count_likelihoods
+from locuswise.operators.allele_counts import allele_count_likelihoods
 from locuswise.operators.pileup import pileup
 from locuswise.operators.profile import smoothing_kernel
 
