@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from locuswise.operators import sorting as so
@@ -9,7 +11,9 @@ from locuswise.operators.fastq import split_mates
 from locuswise.plans import fixtures as fx
 from locuswise.plans.interval_queries import contigs
 from locuswise.plans.registry import query
+from locuswise.session import checkpoint_dir
 from locuswise.sources import sinks
+from locuswise.sources.reads import read_fastq
 from locuswise.sources.variants import known_in_window, known_sites
 
 
@@ -91,3 +95,12 @@ def _(spark, sf_dir):
 def _(spark, sf_dir):
     k = known_sites(fx.sites(spark, sf_dir), 128)
     return known_in_window(k, fx.regions(spark, sf_dir), 128).select("chrom", "pos", "ref")
+
+
+@query("fastq_source", "reads", "SELECT read_name, mate_no, sample, bases, quals FROM reads")
+def _(spark, sf_dir):
+    # the table's reads as files of four lines each, read back; mates and samples stand in the lines
+    path = f"{checkpoint_dir(spark)}/fastq-{uuid.uuid4().hex}"
+    r = fx.reads(spark, sf_dir)
+    r.select(F.concat_ws("\n", F.concat(F.lit("@"), "read_name", F.lit("/"), "mate_no"), "bases", F.concat(F.lit("+"), "sample"), "quals")).write.text(path)
+    return read_fastq(spark, path).drop("file")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from locuswise.functions import cigar as cg
 from locuswise.functions.flags import expand
 from locuswise.functions.lambdas import first_of_key
-from locuswise.sources.text import numbered_lines, read_lines
+from locuswise.sources.text import numbered_lines, read_lines, records
 
 
 def _name_and_mate(header: Column, style: str) -> tuple[Column, Column]:
@@ -30,13 +30,9 @@ def read_fastq(spark: SparkSession, path, name_style: str = "slash", sample: str
     """read_name, mate_no, sample, bases, quals and file, one row per four lines.
 
     ``sample`` names all reads; without it the third line after ``+`` is taken, as in cleaned files
-    that carry the sample there, else it is null.
+    that carry the sample there, else it is null. What isn't a record of four lines is an error.
     """
-    lines = numbered_lines(spark, path)
-    part = F.col("line_no") % 4
-    rec = lines.groupBy("file", F.floor(F.col("line_no") / 4).alias("_rec")).agg(
-        *[F.max(F.when(part == i, F.col("value"))).alias(n) for i, n in enumerate(("_head", "bases", "_plus", "quals"))]
-    )
+    rec = records(spark, path, 4).select("file", *[F.get("parts", F.lit(i)).alias(n) for i, n in enumerate(("_head", "bases", "_plus", "quals"))])
     broken = ~F.col("_head").startswith("@") | ~F.coalesce(F.col("_plus").startswith("+"), F.lit(False))
     head = F.when(
         broken, F.raise_error(F.concat(F.lit("not a FASTQ record: "), F.col("_head")))

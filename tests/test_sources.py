@@ -29,6 +29,29 @@ def test_fastq_over_many_splits(spark, tmp_path):
     assert len(got) == 3000 and all(len(r.bases) == len(r.quals) == 4 + int(r.read_name[1:]) % 7 for r in got)
 
 
+def test_records_within_and_across_splits(spark, tmp_path, monkeypatch):
+    from locuswise.sources import text
+
+    rec = [[f"@q{i}/1", "ACGT" * (1 + i % 9 * (40 if i % 50 == 0 else 1)), "+", "@+I#" * (1 + i % 9 * (40 if i % 50 == 0 else 1))] for i in range(400)]
+    for name, part in (("a.fq", rec[:250]), ("b.fq", rec[250:399]), ("c.fq", rec[399:])):
+        (tmp_path / name).write_text("".join("\n".join(r) + "\n" for r in part))
+    (tmp_path / "empty.fq").write_text("")
+    want = sorted(r[:2] + r[3:] for r in rec)
+    for bytes_, most in (("1024", text.BROADCAST_SPLITS), ("170", text.BROADCAST_SPLITS), ("1024", 3)):
+        monkeypatch.setattr(text, "BROADCAST_SPLITS", most)
+        spark.conf.set("spark.sql.files.maxPartitionBytes", bytes_)
+        try:
+            df = text.records(spark, str(tmp_path), 4)
+            assert sorted([r.parts[0], r.parts[1], r.parts[3]] for r in df.collect()) == want
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    # the branch of whole records has no exchange of lines
+    monkeypatch.setattr(text, "BROADCAST_SPLITS", 1000)
+    lines = text.read_lines(spark, str(tmp_path)).select("file", "_block", "value", F.lit(0).alias("_skip"))
+    assert "Exchange" not in text._whole_records(lines, 4)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in rd.read_fastq(spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
+
+
 def test_manifest_and_adapters(spark, tmp_path):
     (tmp_path / "m.txt").write_text("s2\t/d/b_1.fq\t/d/b_2.fq\t\t\ns1\t/d/a_1.fq\t/d/a_2.fq\t/d/a.list\n")
     got = sorted((r.sample, r.sample_idx, r.kind, r.mate_no, r.file_name) for r in rd.read_manifest(spark, str(tmp_path / "m.txt")).collect())
