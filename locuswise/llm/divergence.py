@@ -12,8 +12,8 @@ of terms, as arrays; terms that both lack need no rows, as they all add the same
 
 from __future__ import annotations
 
-import re
 from collections import Counter
+from itertools import filterfalse
 
 import numpy as np
 import pyarrow as pa
@@ -33,8 +33,8 @@ HELD, HELD_BYTES = 1 << 19, 64 << 20
 #: sources of a language in a block, and terms of a language in a chunk, about
 SOURCES, TERMS = 32, 1 << 13
 
-# Fixed value: the bytes of terms, which are lower-case letters or parts of characters beyond ASCII once A-Z are lower-cased.
-LETTER = rb"a-z\x80-\xff"
+#: what each byte becomes: A-Z lower-case; a-z and the bytes of characters beyond ASCII stay; others end a term
+TERM_BYTES = bytes(b | 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
 
 
 def _bit(key: bytes, bits: int) -> int:
@@ -61,8 +61,6 @@ def _counted(docs: DataFrame, bitmap: np.ndarray | None, known: int, width: int
     """Counts over the terms whose first ``known`` bytes the bitmap holds: lang, prefix, n distinct documents by prefixes of at most
     ``width`` bytes; or, without ``width``, lang, source, prefix, n occurrences of the terms that the bitmap holds whole."""
     shared = None if bitmap is None else docs.sparkSession.sparkContext.broadcast(bitmap)
-    # shorter terms were complete in an earlier level; the rest of a longer one is read and left out
-    runs = re.compile(b"([%s]{%d,%d})[%s]*" % (LETTER, max(1, known), width, LETTER) if width else b"[%s]+" % LETTER)
     first = known if width else None
 
     def run(batches):
@@ -72,32 +70,31 @@ def _counted(docs: DataFrame, bitmap: np.ndarray | None, known: int, width: int
 
         def handed_on():
             seen: dict[str, dict[bytes, bool]] = {}
-            rows = []
             for (lang, source), c in totals.items():
                 head, stays = lang.encode() + b"\0", seen.setdefault(lang, {})
-                for x, n in c.items():
-                    key = x[:first]
-                    ok = stays.get(key)
-                    if ok is None:
-                        at = -1 if bits is None else _bit(head + key, 64 * len(bits))
-                        ok = stays[key] = at < 0 or bool(bits[at >> 6] >> (at & 63) & 1)
-                    if ok:
-                        rows.append((lang, source, x, n))
+                items = pa.array(list(c), pa.binary())
+                counts = pa.array(list(c.values()), pa.int64())
+                if bits is not None:
+                    keys = [x[:first] for x in c] if first else list(c)
+                    for key in filterfalse(stays.__contains__, keys):
+                        at = _bit(head + key, 64 * len(bits))
+                        stays[key] = bool(bits[at >> 6] >> (at & 63) & 1)
+                    fit = pa.array(list(map(stays.__getitem__, keys)), pa.bool_())
+                    items, counts = items.filter(fit), counts.filter(fit)
+                yield pa.RecordBatch.from_arrays([pa.repeat(pa.scalar(lang), len(items)), pa.repeat(pa.scalar(source), len(items)), items, counts], names=["lang", "source", "prefix", "n"])
             totals.clear()
-            cols = zip(*rows, strict=True) if rows else ([],) * 4
-            kinds = (pa.string(), pa.string(), pa.binary(), pa.int64())
-            return pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(cols, kinds, strict=True)], names=["lang", "source", "prefix", "n"])
 
         for b in batches:
             for lang, source, text in zip(b.column("lang").to_pylist(), b.column("source").to_pylist(), b.column("text"), strict=True):
-                terms = runs.findall(text.as_py().lower())
+                terms = text.as_py().translate(TERM_BYTES).split()
                 total = totals.setdefault((lang, "" if width else source), Counter())
-                total.update(set(terms) if width else terms)
+                # terms shorter than the prefixes known were complete in an earlier level
+                total.update({t[:width] for t in set(terms) if len(t) >= known} if width else terms)
                 read += sum(map(len, terms))
                 if read > HELD_BYTES or sum(map(len, totals.values())) > HELD:
-                    yield handed_on()
+                    yield from handed_on()
                     read = 0
-        yield handed_on()
+        yield from handed_on()
 
     slim = docs.select("lang", "source", F.col("text").cast("binary").alias("text"))
     out = slim.mapInArrow(run, "lang string, source string, prefix binary, n bigint")
