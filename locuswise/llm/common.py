@@ -24,22 +24,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 _OPEN: list[list[tuple[SparkSession, str]]] = []
 
 
-def _write(df: DataFrame, level: int) -> DataFrame:
+def _write(df: DataFrame, level: int, codec: str | None = None) -> DataFrame:
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark)}/locuswise-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    (df.write.option("compression", codec) if codec else df.write).parquet(path)
     if len(_OPEN) >= level:
         _OPEN[-level].append((spark, path))
     return spark.read.schema(df.schema).parquet(path)
 
 
-def stored(df: DataFrame) -> DataFrame:
+def stored(df: DataFrame, codec: str | None = None) -> DataFrame:
     """Write ``df`` as Parquet to the shared checkpoint folder and read it back.
 
     Cuts the lineage by a table that outlives executors, and lets several readers share one computation. Within a ``scratch``
-    block the table lives until the block ends.
+    block the table lives until the block ends. ``codec`` takes the place of the session's Parquet compression.
     """
-    return _write(df, 1)
+    return _write(df, 1, codec)
 
 
 def kept(df: DataFrame) -> DataFrame:
