@@ -250,16 +250,18 @@ def _(spark, sf_dir):
 @query(
     "sample_allele_columns",
     "cohort",
-    """p AS (SELECT *, [gq % 5, (gq * 3) % 14, dp % 12] AS pl, least(a1, a2) AS lo, greatest(a1, a2) AS hi, gq % 6 = 0 AS near FROM cohort WHERE alt2 IS NULL),
-    q AS (SELECT *, CAST(hi * (hi + 1) // 2 + lo AS INT) AS ix FROM p), o AS (SELECT *, pl[ix + 1] AS own, list_filter([CASE WHEN ix <> 0 THEN pl[1] END, CASE WHEN ix <> 1 THEN pl[2] END, CASE WHEN ix <> 2 THEN pl[3] END], lambda x: x IS NOT NULL) AS ot FROM q),
-    c AS (SELECT *, CASE WHEN lo < 0 THEN 1 WHEN own > 3 OR list_contains(ot, 0) THEN -1 WHEN own > 0 OR list_min(ot) < 10 THEN 0 ELSE 1 END AS ind FROM o)
-    SELECT sample, chrom, pos, ref, alt1 AS alt, ad1 AS allele_depth, CASE WHEN dp = 0 THEN 0.0 ELSE round(coalesce(ad1 / nullif(ad0 + ad1, 0), 0), 2) END AS allele_ratio, CASE WHEN lo < 0 THEN 'noCall' WHEN lo <> hi THEN 'het-ref' WHEN lo > 0 THEN 'hom-alt' ELSE '.' END AS zygosity,
-      CASE WHEN hi = 1 THEN CASE WHEN ad1 <= 2 OR ind < 0 THEN 'FAIL' WHEN ad1 >= 8 AND ind > 0 AND filter = 'PASS' THEN CASE WHEN near THEN 'DUBIOUS' ELSE 'PASS' END ELSE 'DUBIOUS' END END AS filter_tag, CAST(near AS INT) AS near_flag, dp FROM c""",
+    """p AS (SELECT *, CASE WHEN alt2 IS NULL THEN [gq % 5, (gq * 3) % 14, dp % 12] ELSE [gq % 5, (gq * 3) % 14, dp % 12, gq % 7, dp % 9, (gq + dp) % 11] END AS pl,
+       least(a1, a2) AS lo, greatest(a1, a2) AS hi, gq % 6 = 0 AS near FROM cohort),
+    q AS (SELECT *, CAST(hi * (hi + 1) // 2 + lo AS INT) AS ix FROM p), o AS (SELECT *, pl[ix + 1] AS own, list_filter(list_transform(range(len(pl)), lambda i: CASE WHEN i <> ix THEN pl[i + 1] END), lambda x: x IS NOT NULL) AS ot FROM q),
+    c AS (SELECT *, CASE WHEN lo < 0 THEN 1 WHEN own > 3 OR list_contains(ot, 0) THEN -1 WHEN own > 0 OR list_min(ot) < 10 THEN 0 ELSE 1 END AS ind FROM o),
+    e AS (SELECT *, 1 AS k, alt1 AS alt, ad1 AS ad FROM c UNION ALL SELECT *, 2 AS k, alt2 AS alt, ad2 AS ad FROM c WHERE alt2 IS NOT NULL)
+    SELECT sample, chrom, pos, ref, alt, ad AS allele_depth, CASE WHEN dp = 0 THEN 0.0 ELSE round(coalesce(ad / nullif(ad0 + ad1 + coalesce(ad2, 0), 0), 0), 2) END AS allele_ratio,
+      CASE WHEN lo < 0 THEN 'noCall' WHEN lo > 0 AND lo <> hi THEN 'het-alt' WHEN lo <> hi THEN 'het-ref' WHEN lo > 0 THEN 'hom-alt' ELSE '.' END AS zygosity,
+      CASE WHEN a1 = k OR a2 = k THEN CASE WHEN ad <= 2 OR ind < 0 THEN 'FAIL' WHEN ad >= 8 AND ind > 0 AND filter = 'PASS' THEN CASE WHEN near THEN 'DUBIOUS' ELSE 'PASS' END ELSE 'DUBIOUS' END END AS filter_tag, CAST(near AS INT) AS near_flag, dp FROM e""",
 )
 def _(spark, sf_dir):
-    c = fx.cohort(spark, sf_dir).filter("size(alts) = 1").withColumns(
-        {"pl": F.expr("array(gq % 5, (gq * 3) % 14, dp % 12)"), "has_near": F.expr("gq % 6 = 0")}
-    )
+    more = "CASE WHEN size(alts) > 1 THEN array(gq % 7, dp % 9, (gq + dp) % 11) ELSE array() END"
+    c = fx.cohort(spark, sf_dir).withColumns({"pl": F.expr(f"concat(array(gq % 5, (gq * 3) % 14, dp % 12), {more})"), "has_near": F.expr("gq % 6 = 0")})
     return ef.sample_allele_columns(c)
 
 

@@ -87,6 +87,38 @@ def test_cycle_and_context_edges(spark):
     assert one(spark, bqsr.mask_low_tails(F.col("b"), F.col("q")), b="ACGTA", q="#!II#") == "NNGTN"
 
 
+def test_context_numbers_and_text(spark):
+    for t in ("AA", "AC", "GT", "TT"):
+        code = bqsr.context_code(F.col("t"))
+        assert one(spark, F.struct(code, bqsr.context_text(code)), t=t) == ("ACGT".index(t[0]) * 4 + "ACGT".index(t[1]), t)
+
+
+def test_reference_meets_whole_reads(spark):
+    text = "".join("ACGT"[(7 * p + p // 3) % 4] for p in range(2500))
+    ref = spark.createDataFrame([("c", p + 101, b.lower()) for p, b in enumerate(text)], "chrom string, pos long, base string")
+    known = spark.createDataFrame([("c", 103), ("c", 103), ("c", 1000), ("d", 103)], "chrom string, pos long")
+    spans = {"before": (98, 8), "masked": (101, 4), "blocks": (995, 12), "long": (150, 2300), "over": (2596, 12), "gone": (4000, 5), "first": (90, 5)}
+    rows = [(n, "c", p, "A" * k, "I" * k, "g", 1, False) for n, (p, k) in spans.items()] + [("other", "e", 101, "AAAA", "IIII", "g", 1, False)]
+    reads = spark.createDataFrame(rows, "read_name string, chrom string, pos long, bases string, quals string, read_group string, mate_no int, is_reverse boolean")
+    at = {p + 101: b for p, b in enumerate(text)} | {103: ".", 1000: "."}
+    got = {r.read_name: r.ref_bases for r in bqsr.reference_in_reads(reads, ref, known).collect()}
+    want = {n: "".join(at.get(i, ".") for i in range(p, p + k)) for n, (p, k) in spans.items()}
+    assert got == {n: x for n, x in want.items() if any(i in at for i in range(spans[n][0], sum(spans[n])))}
+    t = bqsr.bqsr_tables(reads, ref, known)
+    total = t.filter("level = 'read_group'").first()
+    seen = "".join(want.values()).replace(".", "")
+    assert (total.observations, total.errors) == (len(seen), len(seen) - seen.count("A"))
+    # what is exchanged: whole reads, spans, reference blocks and counts, no single bases
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = bqsr.bqsr_tables(reads, ref, known)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    lines = plan.split("\n")
+    each = next(i for i, x in enumerate(lines) if "Generate posexplode" in x)
+    assert "partial_count" in "".join(lines[each - 4 : each])
+
+
 def test_quantize_keeps_order_and_levels():
     q = bqsr.quantize_quals({10: 1000, 11: 900, 30: 5000, 31: 10}, 4)
     values = [q[k] for k in range(94)]
