@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from locuswise.functions.lambdas import let
 from locuswise.operators.allele_counts import allele_count_likelihoods, iterated_copies
 from locuswise.functions.quality import cap_quality
-from locuswise.operators.reference import with_ref
+from locuswise.operators.reference import MASKED, with_ref
 
 BASES = "ACGT"
 # Diploid genotypes in the order of all likelihood columns.
@@ -187,12 +187,17 @@ def ref_confidence(depth: DataFrame, theta: float = THETA_SNP) -> DataFrame:
 
 
 def ref_vs_any(pileup: DataFrame, ref: DataFrame, min_base_quality: int = 10) -> DataFrame:
-    """log10 likelihood of 0, 1 and 2 copies of anything but the reference base, with allele depths."""
+    """log10 likelihood of 0, 1 and 2 copies of anything but the reference base, with allele depths.
+
+    A pileup that carries ``ref_base`` (of reads from ``reference_in_reads``) is summed where it is made; another one is joined with ``ref``.
+    """
     deletion = _is_del(pileup)
     q = F.when(deletion, F.lit(DELETION_QUALITY)).otherwise(F.col("qual"))
-    rows = pileup.filter(deletion | (F.col("qual") > min_base_quality)).join(
-        ref.select("chrom", "pos", F.upper("base").alias("ref")), ["chrom", "pos"]
-    )
+    rows = pileup.filter(deletion | (F.col("qual") > min_base_quality))
+    if "ref_base" in pileup.columns:
+        rows = rows.filter(F.col("ref_base") != MASKED).withColumn("ref", F.col("ref_base"))
+    else:
+        rows = rows.join(ref.select("chrom", "pos", F.upper("base").alias("ref")), ["chrom", "pos"])
     alt = deletion | (F.col("base") != F.col("ref"))
     if "next_ins" in pileup.columns:
         alt = alt | F.col("next_ins").isNotNull() | F.col("next_del").isNotNull()

@@ -12,7 +12,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from locuswise.functions import cigar as cg
+from locuswise.functions.sequence import mismatches
 from locuswise.operators.intervals import covered_flag, interval_join, merge_intervals, runs
+from locuswise.operators.reference import MASKED, ref_blocks, reference_in_reads, stretches
 from locuswise.operators.scan import TILE, following, scan, with_row
 
 LEVELS = (1, 4, 10, 20, 30, 50, 100)  # fixed values: depth thresholds of the target report
@@ -127,10 +129,12 @@ def coverage_report(segments: DataFrame, contigs: DataFrame, unknown: DataFrame,
     )
 
 
-def mismatch_counts(pileup: DataFrame, ref: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Mismatching bases per read against the reference."""
-    j = pileup.join(ref.withColumnRenamed("base", "ref_base"), ["chrom", "pos"])
-    return j.groupBy(*keys, "read_name", "mate_no").agg(F.count_if(F.col("base") != F.col("ref_base")).alias("mismatches"))
+def mismatch_counts(reads: DataFrame, ref: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Mismatching bases per ungapped read against the reference; bases outside the reference don't count. Each read is compared in its row."""
+    d = reference_in_reads(reads, ref)
+    beyond = F.length("ref_bases") - F.length(F.replace("ref_bases", F.lit(MASKED), F.lit("")))
+    differ = (mismatches(F.col("bases"), F.col("ref_bases")) - beyond).cast("long")
+    return d.select(*keys, "read_name", "mate_no", differ.alias("_n")).groupBy(*keys, "read_name", "mate_no").agg(F.sum("_n").alias("mismatches"))
 
 
 def basic_report(reads: DataFrame, keys: Sequence[str] = ("sample",)) -> DataFrame:
@@ -209,12 +213,12 @@ def region_gc(regions: DataFrame, ref: DataFrame, window: int = 200) -> DataFram
     size = _length()
     extend = F.when(size < window, F.floor((window - size) / 2) + 1).otherwise(F.lit(0))
     wide = regions.select("chrom", F.greatest(F.col("start") - extend, F.lit(1)).alias("start"), (F.col("end") + extend).alias("end"), "name")
-    bases = ref.select(F.col("chrom").alias("rc"), F.col("pos").alias("rs"), F.col("pos").alias("re"), F.upper("base").alias("base"))
-    j = interval_join(wide, bases, right_on=("rc", "rs", "re"))
-    return j.groupBy("name").agg(
-        F.try_divide(
-            F.count_if(F.col("base").isin("G", "C")).cast("double"), F.count_if(F.col("base").isin(*"ACGT")).cast("double")
-        ).alias("gc")
+    wide = wide.select("chrom", F.col("start").cast("long").alias("lo"), F.col("end").cast("long").alias("hi"), "name")
+    found = stretches(wide.select("chrom", "lo", "hi").distinct(), ref_blocks(ref.select("chrom", "pos", F.upper("base").alias("base"))))
+    among = lambda letters: F.length("bases") - F.length(F.translate("bases", letters, ""))
+    counted = found.select("chrom", "lo", "hi", among("GC").alias("_gc"), among("ACGT").alias("_all"))
+    return wide.join(counted, ["chrom", "lo", "hi"]).groupBy("name").agg(
+        F.try_divide(F.sum("_gc").cast("double"), F.sum("_all").cast("double")).alias("gc")
     )
 
 

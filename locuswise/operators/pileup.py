@@ -9,15 +9,18 @@ from locuswise.functions import cigar as cg
 
 
 def explode_bases(reads: DataFrame) -> DataFrame:
-    """One row per base of ungapped reads: offset, pos, base, qual; other read columns are kept."""
-    keep = [c for c in reads.columns if c not in ("pos", "bases", "quals")]
-    split = F.arrays_zip(F.split("bases", "").alias("base"), F.split("quals", "").alias("qual"))
+    """One row per base of ungapped reads: offset, pos, base, qual, and ref_base if reads have ref_bases; other read columns are kept."""
+    keep = [c for c in reads.columns if c not in ("pos", "bases", "quals", "ref_bases")]
+    has_ref = "ref_bases" in reads.columns
+    more = [F.split("ref_bases", "").alias("ref")] if has_ref else []
+    split = F.arrays_zip(F.split("bases", "").alias("base"), F.split("quals", "").alias("qual"), *more)
     return reads.select(*keep, F.col("pos").alias("_start"), F.posexplode(split).alias("offset", "_b")).select(
         *keep,
         (F.col("_start") + F.col("offset")).alias("pos"),
         "offset",
         F.col("_b.base").alias("base"),
         (F.ascii("_b.qual") - 33).alias("qual"),
+        *([F.col("_b.ref").alias("ref_base")] if has_ref else []),
     )
 
 

@@ -11,8 +11,8 @@ import math
 from pyspark.sql import functions as F
 
 from locuswise.operators import calling as cl
-from locuswise.operators.pileup import passes_base_filter, pileup as cigar_pileup
-from locuswise.operators.reference import ref_blocks
+from locuswise.operators.pileup import explode_bases, passes_base_filter, pileup as cigar_pileup
+from locuswise.operators.reference import ref_blocks, reference_in_reads
 from locuswise.plans import fixtures as fx
 from locuswise.plans.registry import query
 
@@ -145,7 +145,8 @@ def _(spark, sf_dir):
       round(sum(CASE WHEN alt THEN y ELSE n END), 6) AS gl_2, count(*) FILTER (NOT alt) AS ref_depth, count(*) FILTER (alt) AS alt_depth FROM f GROUP BY ALL""",
 )
 def _(spark, sf_dir):
-    out = cl.ref_vs_any(fx.pileup(spark, sf_dir), fx.refseq(spark, sf_dir))
+    ref = fx.refseq(spark, sf_dir)
+    out = cl.ref_vs_any(explode_bases(reference_in_reads(fx.reads(spark, sf_dir).filter("NOT is_unmapped"), ref)), ref)
     return out.withColumns({c: F.round(c, 6) for c in ("gl_0", "gl_1", "gl_2")})
 
 

@@ -139,7 +139,7 @@ def _(spark, sf_dir):
         has(F.col("flag"), "first").alias("is_first"), has(F.col("flag"), "mate_unmapped").alias("mate_unmapped"),
     )
     d = with_duplicates(spark, sf_dir).select("sample", "read_name", "mate_no", "is_unmapped", "is_duplicate", "read_len")
-    mm = cov.mismatch_counts(fx.pileup(spark, sf_dir), fx.refseq(spark, sf_dir), ["sample"])
+    mm = cov.mismatch_counts(fx.reads(spark, sf_dir).filter("NOT is_unmapped"), fx.refseq(spark, sf_dir), ["sample"])
     key = ["sample", "read_name", "mate_no"]
     out = cov.basic_report(d.join(a, key).join(mm, key, "left"))
     return out.withColumns({c: F.round(c, 6) for c in out.columns if c.endswith("_rate")})

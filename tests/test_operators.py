@@ -104,6 +104,15 @@ def test_reference_meets_whole_reads(spark):
     got = {r.read_name: r.ref_bases for r in bqsr.reference_in_reads(reads, ref, known).collect()}
     want = {n: "".join(at.get(i, ".") for i in range(p, p + k)) for n, (p, k) in spans.items()}
     assert got == {n: x for n, x in want.items() if any(i in at for i in range(spans[n][0], sum(spans[n])))}
+    from locuswise.operators.coverage import mismatch_counts, region_gc
+
+    plain = {p + 101: b for p, b in enumerate(text)}
+    off = {n: sum(plain[i] != "A" for i in range(p, p + k) if i in plain) for n, (p, k) in spans.items()}
+    counts = mismatch_counts(reads, ref, ["read_group"]).collect()
+    assert {r.read_name: r.mismatches for r in counts} == {n: off[n] for n in got}
+    wide = spark.createDataFrame([("r", "c", 900, 2300), ("none", "c", 9000, 9100)], "name string, chrom string, start long, end long")
+    inside = [plain[i] for i in range(900, 2301)]
+    assert [tuple(r) for r in region_gc(wide, ref).collect()] == [("r", sum(b in "GC" for b in inside) / len(inside))]
     t = bqsr.bqsr_tables(reads, ref, known)
     total = t.filter("level = 'read_group'").first()
     seen = "".join(want.values()).replace(".", "")
