@@ -21,15 +21,18 @@ from operator import add
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from xxhash import xxh3_64_intdigest
 
-from locuswise.llm.common import most_frequent, stored, whole_text
+from locuswise.llm.common import most_frequent, scratch, stored, whole_text
 
 SPACE = "▁"
 #: bound of the table of encoded segments that is shipped; longest segment that has a lattice
 FREQUENT, LONGEST = 1 << 18, 60
-HELD, MEMO = 300_000, 250_000
+#: bytes of a worker's memory of counted or encoded chunks; what an entry takes besides its key and value
+MEMORY, ENTRY = 16 << 20, 200
 UNIGRAM, BPE = 1, 2
 
 
@@ -132,6 +135,53 @@ class Pieces:
                 raise ValueError(f"the piece {p!r} isn't made of two others: the fold would not be exact")
 
 
+@dataclass(frozen=True)
+class Masks:
+    """Boundaries of encoded segments in flat arrays, by the hash of the segment; the segment itself decides."""
+
+    hashes: np.ndarray
+    ends: np.ndarray  # of the segments in ``data``, one more in front
+    data: bytes
+    masks: np.ndarray
+
+    @staticmethod
+    def of(made: pa.Table) -> Masks:
+        names = made["segment"].to_pylist()
+        raw = [x.encode() for x in names]
+        hashes = np.fromiter(map(xxh3_64_intdigest, raw), np.uint64, len(raw))
+        order = np.argsort(hashes, kind="stable")
+        raw = [raw[i] for i in order]
+        ends = np.cumsum([0, *map(len, raw)], dtype=np.int64)
+        return Masks(hashes[order], ends, b"".join(raw), made["mask"].to_numpy().astype(np.int64)[order])
+
+    def get(self, segment: str) -> int | None:
+        b = segment.encode("utf-8", "surrogatepass")
+        h = np.uint64(xxh3_64_intdigest(b))
+        i = int(self.hashes.searchsorted(h))
+        while i < len(self.hashes) and self.hashes[i] == h:
+            if self.data[self.ends[i] : self.ends[i + 1]] == b:
+                return int(self.masks[i])
+            i += 1
+        return None
+
+
+class Remembered(dict):
+    """Encoded chunks, emptied when keys and values take more than MEMORY bytes."""
+
+    def __init__(self):
+        super().__init__()
+        self.size = 0
+
+    def put(self, key: str, value: bytes) -> None:
+        self.size += len(key) + len(value) + ENTRY
+        self[key] = value
+
+    def trim(self) -> None:
+        if self.size > MEMORY:
+            self.clear()
+            self.size = 0
+
+
 def escaped(text: str) -> str:
     """Blanks as the piece table has them, one more in front; nothing of nothing."""
     return SPACE + text.replace(" ", SPACE) if text else ""
@@ -195,32 +245,50 @@ def folded(segments: DataFrame, pieces: Pieces) -> DataFrame:
     return segments.join(made, "segment", "left").select("segment", F.coalesce("mask", all_ends).alias("mask"))
 
 
-def segment_counts(docs: DataFrame, pieces: Pieces) -> DataFrame:
-    """segment, c over the column ``text``; partial counts are made in the tasks."""
-    shared = docs.sparkSession.sparkContext.broadcast(pieces)
+def segment_counts(docs: DataFrame, shared: Broadcast) -> DataFrame:
+    """segment, c over the column ``text``; ``shared`` is the piece table. Partial counts are made in the tasks."""
 
     def run(batches):
-        p, held = shared.value, Counter()
+        p = shared.value
+        chunk_counts: Counter[str] = Counter()
+        total: Counter[str] = Counter()  # of segments
+        size = 0
 
         def out():
-            total: Counter[str] = Counter()
-            for chunk, k in held.items():
+            for chunk, k in chunk_counts.items():
                 for s in p.segments(chunk):
                     total[s] += k
-            held.clear()
-            return pa.RecordBatch.from_arrays([pa.array(total.keys(), pa.string()), pa.array(total.values(), pa.int64())], names=["segment", "c"])
+            made = pa.RecordBatch.from_arrays([pa.array(total.keys(), pa.string()), pa.array(total.values(), pa.int64())], names=["segment", "c"])
+            chunk_counts.clear()
+            total.clear()
+            return made
 
         for b in batches:
             for t in b.column("text"):
-                held.update(chunks(t.as_py(), p))
-                if len(held) >= HELD:
+                parts = chunks(t.as_py(), p)
+                if len(parts) == 1:  # maybe a whole text: not worth remembering
+                    before = len(total)
+                    segments = p.segments(parts[0])
+                    total.update(segments)
+                    size += (len(total) - before) * ENTRY
+                else:
+                    before = len(chunk_counts)
+                    chunk_counts.update(parts)
+                    size += (len(chunk_counts) - before) * ENTRY
+                if size > 2 * MEMORY:
                     yield out()
-        if held:
+                    size = 0
+        if chunk_counts or total:
             yield out()
 
     return docs.select("text").mapInArrow(run, "segment string, c bigint").groupBy("segment").agg(F.sum("c").alias("c"))
 
 
+def id_type(n: int) -> type:
+    """Unsigned 16-bit numbers as long as the table of ``n`` pieces allows it."""
+    return np.uint16 if n <= 1 << 16 else np.uint32
+
+
 def chunks(text: str, pieces: Pieces) -> list[str]:
     """The escaped text cut in front of single blanks; whole where blanks stand together, where the table's own blank occurs, or where a piece would
     reach over a blank from the left."""
@@ -242,16 +310,17 @@ def encode(docs: DataFrame, model: str, *, doc_id: str = "doc_id", text: str = "
         raise ValueError(f"{model}: encoding of whole texts is for merge models; folded() serves unigram tables")
     pieces.check()
     slim = docs.select(F.col(doc_id).alias("doc_id"), whole_text(text).alias("text"))
-    counts = stored(segment_counts(slim, pieces).filter((F.char_length("segment") <= LONGEST) & ~F.contains("segment", F.lit(SPACE * 2))))
-    chosen = stored(most_frequent(counts, frequent).select("segment"))
-    table = {r["segment"]: r["mask"] for r in folded(chosen, pieces).toLocalIterator()}
-    shared = docs.sparkSession.sparkContext.broadcast((pieces, table))
-    code = np.uint16 if len(pieces.names) <= 1 << 16 else np.uint32
+    sc = docs.sparkSession.sparkContext
+    shared = sc.broadcast(pieces)
+    with scratch():
+        counts = stored(segment_counts(slim, shared).filter((F.char_length("segment") <= LONGEST) & ~F.contains("segment", F.lit(SPACE * 2))))
+        chosen = stored(most_frequent(counts, frequent).select("segment"))
+        table = sc.broadcast(Masks.of(folded(chosen, pieces).toArrow()))  # at most ``frequent`` rows
+    code = id_type(len(pieces.names))
 
     def run(batches):
-        p, masks = shared.value
-        memo: dict[str, bytes] = {}
-        known: dict[str, bytes] = {}
+        p, masks = shared.value, table.value
+        memo, known = Remembered(), Remembered()
 
         def of_segment(s: str) -> bytes:
             mask = masks.get(s)
@@ -266,9 +335,8 @@ def encode(docs: DataFrame, model: str, *, doc_id: str = "doc_id", text: str = "
             for s in segments:
                 b = known.get(s)
                 if b is None:
-                    if len(known) >= MEMO:
-                        known.clear()
-                    b = known[s] = of_segment(s)
+                    known.trim()
+                    known.put(s, b := of_segment(s))
                 parts.append(b)
             return b"".join(parts)
 
@@ -276,10 +344,12 @@ def encode(docs: DataFrame, model: str, *, doc_id: str = "doc_id", text: str = "
             out = []
             for t in b.column("text"):
                 parts = chunks(t.as_py(), p)
-                if len(memo) >= MEMO:
-                    memo.clear()
+                if len(parts) == 1:  # maybe a whole text: not remembered
+                    out.append(of_chunk(parts[0]))
+                    continue
+                memo.trim()
                 for c in set(filterfalse(memo.__contains__, parts)):
-                    memo[c] = of_chunk(c)
+                    memo.put(c, of_chunk(c))
                 out.append(b"".join(map(memo.__getitem__, parts)))
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("text"), pa.array(out, pa.binary())], names=["doc_id", "text", "ids"])
 
@@ -292,7 +362,7 @@ def decode(encoded: DataFrame, model: str) -> DataFrame:
     byte_of = {i: b for b, i in enumerate(pieces.byte_ids)}
     parts = [bytes([byte_of[i]]) if i in byte_of else p.replace(SPACE, " ").encode() for i, p in enumerate(pieces.names)]
     shared = encoded.sparkSession.sparkContext.broadcast(parts)
-    code = np.uint16 if len(parts) <= 1 << 16 else np.uint32
+    code = id_type(len(parts))
 
     @F.arrow_udf("string")
     def text_of(ids: pa.Array) -> pa.Array:
@@ -306,12 +376,14 @@ def decode(encoded: DataFrame, model: str) -> DataFrame:
     return encoded.withColumn("decoded", text_of("ids"))
 
 
-def digest(encoded: DataFrame) -> DataFrame:
+def digest(encoded: DataFrame, model: str) -> DataFrame:
     """doc_id, n_pieces, ids_crc32 (of unsigned 32-bit little-endian ids), round_trip of decoded texts (a blank of the piece table counts as a blank)."""
 
+    code = id_type(len(Pieces.load(model).names))
+
     @F.arrow_udf("struct<n:bigint,crc:bigint>")
     def of(ids: pa.Array) -> pa.Array:
-        wide = [np.frombuffer(x.as_py(), np.uint16).astype("<u4") for x in ids]
+        wide = [np.frombuffer(x.as_py(), code).astype("<u4") for x in ids]
         return pa.StructArray.from_arrays([pa.array([len(w) for w in wide], pa.int64()), pa.array([zlib.crc32(w.tobytes()) for w in wide], pa.int64())], names=["n", "crc"])
 
     same = F.col("decoded") == F.replace(F.col("text"), F.lit(SPACE), F.lit(" "))

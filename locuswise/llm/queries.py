@@ -124,7 +124,7 @@ def _(spark, sf_dir) -> DataFrame:
     from locuswise.llm.pieces import decode, digest, encode
 
     model = public_tokenizers.path("piece_bpe_32k.model")
-    return digest(decode(encode(table(spark, sf_dir, "documents"), model), model))
+    return digest(decode(encode(table(spark, sf_dir, "documents"), model), model), model)
 
 
 @query("op11_best_fit_decreasing")

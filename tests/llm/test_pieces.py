@@ -3,6 +3,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import sentencepiece
 
@@ -81,3 +82,30 @@ def test_whole_table(spark):
     assert got.round_trip.all()
     assert got.n_pieces.loc[docs.doc_id].tolist() == [len(w) for w in want]
     assert got.ids_crc32.loc[docs.doc_id].tolist() == [zlib.crc32(np.array(w, "<u4").tobytes()) for w in want]
+
+
+def test_masks_are_found_by_the_segment_itself():
+    words = [f"w{i}" for i in range(300)] + ["é", "▁"]
+    m = pc.Masks.of(pa.table({"segment": words, "mask": pa.array(range(len(words)), pa.int64())}))
+    assert [m.get(w) for w in words] == list(range(len(words))) and m.get("absent") is None
+    same = pc.Masks(np.zeros(2, np.uint64) + m.hashes[0], m.ends[:3], m.data, m.masks[:2])  # two segments of one hash
+    first, second = (m.data[m.ends[i] : m.ends[i + 1]].decode() for i in range(2))
+    assert same.get(first) == m.masks[0] and same.get(second) in (None, m.masks[1])
+    none = pc.Masks.of(pa.table({"segment": pa.array([], pa.string()), "mask": pa.array([], pa.int64())}))
+    assert none.get("a") is None
+
+
+def test_memory_is_bounded(spark, monkeypatch):
+    monkeypatch.setattr(pc, "MEMORY", 0)
+    r = pc.Remembered()
+    r.put("a", b"x")
+    r.trim()
+    assert not r and r.size == 0
+
+
+def test_wide_ids(spark, monkeypatch):
+    assert pc.id_type(1 << 16) is np.uint16 and pc.id_type((1 << 16) + 1) is np.uint32
+    monkeypatch.setattr(pc, "id_type", lambda n: np.uint32)
+    ids = np.array([70_000, 3], "<u4").tobytes()
+    got = pc.digest(spark.createDataFrame([(1, "a", bytearray(ids), "a")], "doc_id long, text string, ids binary, decoded string"), PATH).first()
+    assert (got.n_pieces, got.ids_crc32) == (2, zlib.crc32(ids))
