@@ -32,7 +32,7 @@ SPACE = "▁"
 #: bound of the table of encoded segments that is shipped; longest segment that has a lattice
 FREQUENT, LONGEST = 1 << 18, 60
 #: bytes of a worker's memory of counted or encoded chunks; what an entry takes besides its key and value
-MEMORY, ENTRY = 16 << 20, 200
+MEMORY, ENTRY = 64 << 20, 200
 UNIGRAM, BPE = 1, 2
 
 
@@ -275,7 +275,7 @@ def segment_counts(docs: DataFrame, shared: Broadcast) -> DataFrame:
                     before = len(chunk_counts)
                     chunk_counts.update(parts)
                     size += (len(chunk_counts) - before) * ENTRY
-                if size > 2 * MEMORY:
+                if size > MEMORY // 2:
                     yield out()
                     size = 0
         if chunk_counts or total:
