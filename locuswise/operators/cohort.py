@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from locuswise.functions.alleles import genotype_index, remap_pl, trim_alleles
@@ -17,6 +17,8 @@ from locuswise.operators.scan import running
 
 NON_REF = "<NON_REF>"
 SPAN_DEL = "*"
+# INFO keys that are computed again after genotyping, the depth (summed) and the end (of a record, not of a site)
+STALE_INFO = ("AC", "AF", "AN", "DP", "END", "MLEAC", "MLEAF")
 
 
 def true_alts(alts: Column) -> Column:
@@ -69,15 +71,41 @@ def _finish_site(g: DataFrame, keep_non_ref: bool) -> DataFrame:
     )
 
 
-def merge_sites(at: DataFrame, keep_non_ref: bool = True) -> DataFrame:
+def info_counts(at: DataFrame, info: str, *by: Column) -> DataFrame:
+    """chrom, pos, ``by``, key, value, n: how often a number stands under an INFO key of the records that start at the locus."""
+    here = at.filter(F.col("start") == F.col("pos"))
+    d = here.select("chrom", "pos", *by, F.explode(info).alias("key", "text")).filter(~F.col("key").isin(*STALE_INFO))
+    value = F.col("text").try_cast("double")
+    d = d.withColumn("value", value).filter(F.col("value").isNotNull() & ~F.isnan("value"))
+    return d.groupBy(*[c for c in d.columns if c != "text"]).agg(F.count("*").alias("n"))
+
+
+def info_medians(counts: DataFrame) -> DataFrame:
+    """chrom, pos, info: the upper median of each INFO key, from ``info_counts`` of the cohort or of its batches.
+
+    Counts of equal values are summed before a key of a site meets in one task; there the distinct values pass a window, which
+    spills. The map of a site has one entry per INFO key of the header.
+    """
+    site = ["chrom", "pos", "key"]
+    c = counts.groupBy(*site, "value").agg(F.sum("n").alias("n"))
+    w = Window.partitionBy(*site)
+    upto = F.sum("n").over(w.orderBy("value").rowsBetween(Window.unboundedPreceding, 0))
+    c = c.select(*site, "value", upto.alias("_upto"), F.sum("n").over(w).alias("_all")).filter(F.col("_upto") > F.floor(F.col("_all") / 2))
+    m = c.groupBy(*site).agg(F.min("value").alias("value"))
+    return m.groupBy("chrom", "pos").agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("key", "value")))).alias("info"))
+
+
+def merge_sites(at: DataFrame, keep_non_ref: bool = True, info: str | None = None) -> DataFrame:
     """One row per locus: longest reference allele, union of alternate alleles padded to it, summed depth, ids.
 
-    Alleles are collected as sets, whose size follows the distinct alleles of a site and not the cohort.
+    Alleles are collected as sets, whose size follows the distinct alleles of a site and not the cohort. ``info`` names a column
+    of ``map<string,string>``: its numbers come back as a map of medians (null where no record that starts at the locus has one).
     """
-    return _finish_site(at.groupBy("chrom", "pos").agg(*_site_aggs()), keep_non_ref)
+    sites = _finish_site(at.groupBy("chrom", "pos").agg(*_site_aggs()), keep_non_ref)
+    return sites if info is None else sites.join(info_medians(info_counts(at, info)), ["chrom", "pos"], "left")
 
 
-def merge_sites_two_level(at: DataFrame, batches: int, keep_non_ref: bool = True) -> DataFrame:
+def merge_sites_two_level(at: DataFrame, batches: int, keep_non_ref: bool = True, info: str | None = None) -> DataFrame:
     """The same rows by merging batches of samples first and batch results second."""
     batch = F.pmod(F.xxhash64("sample"), F.lit(batches)).alias("_batch")
     part = at.groupBy("chrom", "pos", batch).agg(*_site_aggs())
@@ -85,7 +113,8 @@ def merge_sites_two_level(at: DataFrame, batches: int, keep_non_ref: bool = True
         F.max("_ref").alias("_ref"), F.array_distinct(F.flatten(F.collect_list("_alleles"))).alias("_alleles"), F.bool_or("_span").alias("_span"),
         F.bool_or("_event").alias("_event"), F.sum("dp").alias("dp"), F.array_distinct(F.flatten(F.collect_list("_ids"))).alias("_ids"), F.sum("samples").alias("samples"),
     )
-    return _finish_site(g, keep_non_ref)
+    sites = _finish_site(g, keep_non_ref)
+    return sites if info is None else sites.join(info_medians(info_counts(at, info, batch)), ["chrom", "pos"], "left")
 
 
 def merge_genotypes(at: DataFrame, sites: DataFrame) -> DataFrame:

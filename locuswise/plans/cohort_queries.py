@@ -49,6 +49,33 @@ def _(spark, sf_dir):
     return co.merge_sites(at(spark, sf_dir)).withColumn("alts", F.array_join("alts", ","))
 
 
+# INFO of the records: a number each, a number on some, text, and a key that is computed again
+_INFO = {"MQ": "CAST({pl} % 40 AS {s}) || '.5'", "RPS": "CASE WHEN coalesce(dp, min_dp) % 3 > 0 THEN CAST(coalesce(dp, min_dp) - 20 AS {s}) END", "NOTE": "CASE WHEN gq_band = 0 THEN 'low' ELSE CAST(gq_band AS {s}) END", "AC": "'1'"}
+_INFO_SQL = (
+    _AT
+    + """, iv AS (SELECT chrom, pos, unnest(['MQ', 'RPS', 'NOTE']) AS k, TRY_CAST(unnest(["""
+    + ", ".join(_INFO[k].format(pl="pl[2]", s="VARCHAR") for k in ("MQ", "RPS", "NOTE"))
+    + """]) AS DOUBLE) AS v FROM rt WHERE "start" = pos),
+  ir AS (SELECT *, row_number() OVER (PARTITION BY chrom, pos, k ORDER BY v) AS r, count(*) OVER (PARTITION BY chrom, pos, k) AS n FROM iv WHERE v IS NOT NULL),
+  im AS (SELECT chrom, pos, max(v) FILTER (k = 'MQ') AS mq, max(v) FILTER (k = 'RPS') AS rps, max(v) FILTER (k = 'NOTE') AS note, count(*) AS n_keys FROM ir WHERE r = n // 2 + 1 GROUP BY ALL)
+  SELECT chrom, pos, ref, array_to_string(alts, ',') AS alts, dp, id, samples, mq, rps, note, CAST(coalesce(n_keys, 0) AS INT) AS n_keys FROM ml LEFT JOIN im USING (chrom, pos)"""
+)
+
+
+def _with_info(merge):
+    def build(spark, sf_dir):
+        pairs = ", ".join(f"'{k}', {v.format(pl='pl[1]', s='STRING')}" for k, v in _INFO.items())
+        m = merge(at(spark, sf_dir).withColumn("info", F.expr(f"map_filter(map({pairs}), (k, v) -> v IS NOT NULL)")))
+        keys = [F.try_element_at("info", F.lit(k)).alias(k.lower()) for k in ("MQ", "RPS", "NOTE")]
+        return m.select("chrom", "pos", "ref", F.array_join("alts", ",").alias("alts"), "dp", "id", "samples", *keys, F.coalesce(F.size(F.map_keys("info")), F.lit(0)).alias("n_keys"))
+
+    return build
+
+
+query("merge_gvcf_info", "gv", _INFO_SQL)(_with_info(lambda d: co.merge_sites(d, info="info")))
+query("merge_gvcf_info_two_level", "gv", _INFO_SQL)(_with_info(lambda d: co.merge_sites_two_level(d, 4, info="info")))
+
+
 @query("merge_gvcf_two_level", "gv", _AT + _SHOW)
 def _(spark, sf_dir):
     return co.merge_sites_two_level(at(spark, sf_dir), 4).withColumn("alts", F.array_join("alts", ","))
