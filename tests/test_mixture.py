@@ -73,3 +73,17 @@ def test_steps_equal_those_in_memory(spark):
 def test_no_rows(spark):
     with pytest.raises(ValueError, match="no training rows"):
         mx.fit_mixture(frame(spark, np.zeros((3, 2))).filter(F.lit(False)), 2)
+
+
+def test_rows_are_packed_into_few_arrays(spark):
+    x = np.arange(60.0).reshape(20, 3)
+    blocks, n = mx.packed(frame(spark, x).repartition(7))
+    try:
+        got = blocks.collect()
+        assert n == 20 and blocks.getNumPartitions() == 1 and len(got) == 1
+        assert sorted(map(tuple, got[0])) == sorted(map(tuple, x))
+        added = mx._added(blocks, lambda v: mx.nearest(v, x[[2, 15]]), 2, 3)
+        want = mx._collected(mx.moments(frame(spark, x), lambda v: mx.nearest(v, x[[2, 15]])), 2, 3)
+        assert all(np.allclose(a, b) for a, b in zip(added, want))
+    finally:
+        blocks.unpersist()
