@@ -12,11 +12,9 @@ of terms, as arrays; terms that both lack need no rows, as they all add the same
 
 from __future__ import annotations
 
-from collections import Counter
-from itertools import filterfalse
-
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -28,8 +26,8 @@ DOCUMENTS, TOP, SCALE = 10, 10, 1_000_000_000
 FIRST, GROWTH = 4, 3
 #: bits of the map that carries prefixes to the next level (4 MB)
 BITS = 1 << 25
-#: counters, and bytes of terms read, after which a task hands its counts on and starts afresh
-HELD, HELD_BYTES = 1 << 19, 64 << 20
+#: bytes of texts that a task counts at once (a longer text alone)
+HELD = 16 << 20
 #: sources of a language in a block, and terms of a language in a chunk, about
 SOURCES, TERMS = 32, 1 << 13
 
@@ -57,6 +55,51 @@ def _bitmap(rows: DataFrame) -> np.ndarray:
     return out
 
 
+def runs(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys in their order, and how often each occurs."""
+    s = np.sort(keys)
+    at = np.flatnonzero(np.r_[len(s) > 0, s[1:] != s[:-1]]) if len(s) else np.zeros(0, np.int64)
+    return s[at], np.diff(np.r_[at, len(s)])
+
+
+def tally(lang: pa.Array, source: pa.Array, texts: pa.Array, known: int, width: int | None) -> pa.Table:
+    """Counts of some documents (binary texts): lang, source, prefix, n as in ``_counted``, before the bitmap is asked."""
+    plain = pa.array([t.as_py().translate(TERM_BYTES) for t in texts], pa.binary()).view(pa.string())
+    lists = pc.ascii_split_whitespace(plain)
+    terms, doc = lists.flatten().view(pa.binary()), pc.list_parent_indices(lists).to_numpy()
+    # blanks at the ends of a text leave empty terms; terms shorter than the prefixes known were complete in an earlier level
+    long = pc.greater_equal(pc.binary_length(terms), max(1, known))
+    if not pc.all(long, min_count=0).as_py():
+        terms, doc = terms.filter(long), doc[long.to_numpy(zero_copy_only=False)]
+    code = (pc.binary_slice(terms, 0, width) if width else terms).dictionary_encode()
+    size, at = max(1, len(code.dictionary)), code.indices.to_numpy()
+    langs, sources = lang.dictionary_encode(), source.dictionary_encode()
+    kinds = max(1, len(sources.dictionary))
+    group = langs.indices.to_numpy().astype(np.int64) * kinds
+    if width:
+        once = runs(doc * size + at)[0]
+        doc, at = once // size, once % size
+    else:
+        group += sources.indices.to_numpy()
+    cells, n = runs(group[doc] * size + at)
+    of = cells // size
+    named = pa.repeat(pa.scalar(""), len(cells)) if width else sources.dictionary.take(pa.array(of % kinds))
+    return pa.table({"lang": langs.dictionary.take(pa.array(of // kinds)), "source": named, "prefix": code.dictionary.take(pa.array(cells % size)), "n": pa.array(n, pa.int64())})
+
+
+def _held(t: pa.Table, bits: np.ndarray, first: int | None) -> pa.Table:
+    """The rows whose prefix, or its ``first`` bytes, the bitmap holds for their language."""
+    lang = t["lang"].combine_chunks().dictionary_encode()
+    key = (pc.binary_slice(t["prefix"], 0, first) if first else t["prefix"]).combine_chunks().dictionary_encode()
+    size = max(1, len(key.dictionary))
+    cells = lang.indices.to_numpy().astype(np.int64) * size + key.indices.to_numpy()
+    pairs = runs(cells)[0]
+    heads, keys = [x.encode() + b"\0" for x in lang.dictionary.to_pylist()], key.dictionary.to_pylist()
+    at = np.fromiter((_bit(heads[p // size] + keys[p % size], 64 * len(bits)) for p in pairs.tolist()), np.int64, len(pairs))
+    stays = (bits[at >> 6] >> (at & 63) & 1).astype(bool)
+    return t.filter(pa.array(stays[np.searchsorted(pairs, cells)]))
+
+
 def _counted(docs: DataFrame, bitmap: np.ndarray | None, known: int, width: int | None) -> DataFrame:
     """Counts over the terms whose first ``known`` bytes the bitmap holds: lang, prefix, n distinct documents by prefixes of at most
     ``width`` bytes; or, without ``width``, lang, source, prefix, n occurrences of the terms that the bitmap holds whole."""
@@ -65,36 +108,15 @@ def _counted(docs: DataFrame, bitmap: np.ndarray | None, known: int, width: int
 
     def run(batches):
         bits = None if shared is None else shared.value
-        totals: dict[tuple[str, str], Counter] = {}
-        read = 0
-
-        def handed_on():
-            seen: dict[str, dict[bytes, bool]] = {}
-            for (lang, source), c in totals.items():
-                head, stays = lang.encode() + b"\0", seen.setdefault(lang, {})
-                items = pa.array(list(c), pa.binary())
-                counts = pa.array(list(c.values()), pa.int64())
-                if bits is not None:
-                    keys = [x[:first] for x in c] if first else list(c)
-                    for key in filterfalse(stays.__contains__, keys):
-                        at = _bit(head + key, 64 * len(bits))
-                        stays[key] = bool(bits[at >> 6] >> (at & 63) & 1)
-                    fit = pa.array(list(map(stays.__getitem__, keys)), pa.bool_())
-                    items, counts = items.filter(fit), counts.filter(fit)
-                yield pa.RecordBatch.from_arrays([pa.repeat(pa.scalar(lang), len(items)), pa.repeat(pa.scalar(source), len(items)), items, counts], names=["lang", "source", "prefix", "n"])
-            totals.clear()
-
         for b in batches:
-            for lang, source, text in zip(b.column("lang").to_pylist(), b.column("source").to_pylist(), b.column("text"), strict=True):
-                terms = text.as_py().translate(TERM_BYTES).split()
-                total = totals.setdefault((lang, "" if width else source), Counter())
-                # terms shorter than the prefixes known were complete in an earlier level
-                total.update({t[:width] for t in set(terms) if len(t) >= known} if width else terms)
-                read += sum(map(len, terms))
-                if read > HELD_BYTES or sum(map(len, totals.values())) > HELD:
-                    yield from handed_on()
-                    read = 0
-        yield from handed_on()
+            sizes = np.cumsum(pc.binary_length(b.column("text")).to_numpy())
+            at = 0
+            while at < b.num_rows:
+                to = max(at + 1, int(np.searchsorted(sizes, (sizes[at - 1] if at else 0) + HELD, "right")))
+                part = b.slice(at, to - at)
+                made = tally(part.column("lang"), part.column("source"), part.column("text"), known, width)
+                yield from (made if bits is None else _held(made, bits, first)).to_batches()
+                at = to
 
     slim = docs.select("lang", "source", F.col("text").cast("binary").alias("text"))
     out = slim.mapInArrow(run, "lang string, source string, prefix binary, n bigint")

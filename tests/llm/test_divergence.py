@@ -3,6 +3,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -102,3 +103,20 @@ def test_exact_at_any_size(spark):
 def test_whole_table(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     assert rows(dv.source_divergence(docs)) == brute([(r.text, r.lang, r.source) for r in docs.collect()])
+
+
+@pytest.mark.parametrize("known, width", [(0, 4), (4, 12), (0, None)])
+def test_tally_counts_documents_and_occurrences(known, width):
+    docs = [("de", "a", "ab Abcde  abcdX ab"), ("de", "b", " ab "), ("fr", "a", "ab"), ("de", "a", "abcde abcde"), ("de", "a", ""), ("", "", "1 2")]
+    lang, source, text = zip(*docs, strict=True)
+    t = dv.tally(pa.array(lang), pa.array(source), pa.array([x.encode() for x in text], pa.binary()), known, width)
+    want = Counter()
+    for x, s, d in docs:
+        terms = [w.encode() for w in TERM.findall(d.lower())]
+        if width:
+            want.update((x, "", p) for p in {w[:width] for w in terms if len(w) >= known})
+        else:
+            want.update((x, s, w) for w in terms)
+    assert dict(zip(zip(*(t[c].to_pylist() for c in ("lang", "source", "prefix")), strict=True), t["n"].to_pylist(), strict=True)) == want
+    # one row a key, also where a task meets it in many texts
+    assert len(t) == len(want)
