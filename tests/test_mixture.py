@@ -87,3 +87,22 @@ def test_rows_are_packed_into_few_arrays(spark):
         assert all(np.allclose(a, b) for a, b in zip(added, want))
     finally:
         blocks.unpersist()
+
+
+def test_queries_fit_whole_models(spark, tmp_path, monkeypatch):
+    """No query cuts the steps of a fit or the components below the feature's own limits."""
+    from locuswise.operators import vqsr as vq
+    from locuswise.plans import vqsr_queries as vp
+
+    spark.range(1, 301).selectExpr("id AS p_partkey", "CAST(id * 7 % 50 + 1 AS INT) AS p_size", "CAST(900 + id * 37 % 1000 AS DOUBLE) AS p_retailprice").write.parquet(
+        str(tmp_path / "part.parquet")
+    )
+    seen = []
+
+    def fit(training, k, seed, max_steps):
+        seen.append((training.count() > 0, k, max_steps))
+        return [(1.0, [0.0] * 3, np.eye(3).tolist())]
+
+    monkeypatch.setattr(vq, "fit_mixture", fit)
+    vp.fitted(spark, str(tmp_path))
+    assert seen == [(True, 8, mx.MAX_STEPS), (True, 2, mx.MAX_STEPS)]
