@@ -43,6 +43,27 @@ def test_join_equals_brute_force(spark, seed, how):
         assert sorted(r.i for r in got.collect()) == want
 
 
+def test_join_packs_the_rows_of_a_bin(spark, monkeypatch):
+    """Arrays of few rows, rows that start before their bin, equal rows, rows without a place and reversed ones."""
+    monkeypatch.setattr(iv, "PACK", 3)
+    rng = random.Random(5)
+    a, b = spans(rng, 60, 2000) + [(None, 5, 9, 60), ("a", None, None, 61), ("a", 900, 700, 62), ("c", 1, 5, 63)], spans(rng, 50, 2000)
+    b += [("a", 500, 520, 50 + k) for k in range(8)] + [(None, 5, 9, 58), ("a", None, None, 59)]
+    a.append(("a", 510, 512, 64))
+    left = spark.createDataFrame(a, "chrom string, start long, end long, i int")
+    right = spark.createDataFrame(b, "chrom string, start long, end long, j int")
+    meet = lambda x, y: None not in x + y and x[0] == y[0] and x[1] <= y[2] and x[2] >= y[1]
+    hits = {x[3]: [y[3] for y in b if meet(x, y)] for x in a}
+    for salt in (1, 2):
+        inner, outer = (iv.interval_join(left, right, how, salt=salt) for how in ("inner", "left"))
+        assert inner.columns == outer.columns == ["chrom", "start", "end", "i", "r_chrom", "r_start", "r_end", "j"]
+        assert sorted((r.i, r.j) for r in inner.collect()) == sorted((i, j) for i, js in hits.items() for j in js)
+        assert sorted((r.i, -1 if r.j is None else r.j) for r in outer.collect()) == sorted((i, j) for i, js in hits.items() for j in js or [-1])
+        for d in (inner, outer):
+            plan = d._jdf.queryExecution().optimizedPlan().toString()
+            assert "inline" in plan and "Union" not in plan.split("Generate inline")[0]
+
+
 def test_touching_is_not_overlapping(spark):
     left = spark.createDataFrame([("a", 1, 10)], "chrom string, start long, end long")
     right = spark.createDataFrame([("a", 11, 20), ("a", 10, 10)], "chrom string, start long, end long")
